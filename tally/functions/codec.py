@@ -29,20 +29,30 @@ def encode(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> D
     return df.select(json_text(*columns).cast("binary").alias("value"), *map(quoted, keep))
 
 
-def decode(log: DataFrame, schema: str, keep: Sequence[str] = ()) -> DataFrame:
+def decode(
+    log: DataFrame, schema: str, keep: Sequence[str] = (), filtered: bool = False
+) -> DataFrame:
     """Payloads as flat records of ``schema``; what cannot be decoded becomes nulls.
 
     ``from_json`` carries no options on purpose: only then does the optimizer drop the
     fields that no one reads from the parse.
+
+    Set ``filtered`` where a filter on a record field follows. The optimizer moves such a
+    filter below the projection, parser included, and every payload that passes would be
+    parsed twice. A generator stops that; as it stops the pruning too, name in ``schema``
+    only the fields that are needed.
     """
-    text = F.col("value").cast("string")
-    return log.select(F.from_json(text, schema).alias("data"), *map(quoted, keep)).select(
+    data = F.from_json(F.col("value").cast("string"), schema)
+    if filtered:
+        return log.select(F.inline(F.array(data)), *map(quoted, keep))
+    return log.select(data.alias("data"), *map(quoted, keep)).select(
         "data.*", *map(quoted, keep)
     )
 
 
 def decode_checked(log: DataFrame, schema: str, keep: Sequence[str] = ()) -> DataFrame:
-    """As ``decode``, with the payload text as ``raw`` and a ``corrupt`` flag.
+    """As ``decode`` for a filter to follow, with the payload text as ``raw`` and a
+    ``corrupt`` flag.
 
     The decoded struct is not null even for text that is no JSON object, so the parser's
     own record of rejected text decides, together with absent and empty payloads.
@@ -50,8 +60,7 @@ def decode_checked(log: DataFrame, schema: str, keep: Sequence[str] = ()) -> Dat
     text = F.col("value").cast("string")
     data = F.from_json(text, f"{schema}, {CORRUPT} string")
     return (
-        log.select(text.alias("raw"), data.alias("data"), *map(quoted, keep))
-        .select("raw", "data.*", *map(quoted, keep))
+        log.select(text.alias("raw"), F.inline(F.array(data)), *map(quoted, keep))
         .withColumn("corrupt", F.col(CORRUPT).isNotNull() | (F.coalesce("raw", F.lit("")) == ""))
         .drop(CORRUPT)
     )

@@ -27,12 +27,14 @@ def prefix_sums(
     task, one row per block: a history of ten billion batches has about 150,000 of them.
 
     The input is read once: both branches start from the same exchange, which Spark reuses.
+    That takes equal branches, so the filter that the join implies for one of them is
+    written out for both.
     """
     blocked = batches.select(
         quoted(order),
         block_of(quoted(order), block).alias("_block"),
         *[quoted(c) for c in columns],
-    )
+    ).filter(F.col("_block").isNotNull())
     inside = W.partitionBy("_block").orderBy(quoted(order)).rowsBetween(W.unboundedPreceding, 0)
     before = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     totals = blocked.groupBy("_block").agg(*[F.sum(quoted(c)).alias(c) for c in columns])

@@ -36,7 +36,7 @@ from tally.operators import (
 from tally.plans import inputs
 from tally.plans.inputs import TRACKED, UNSEEN, UNTRACKED
 from tally.plans.posts import SENTIMENTS, polarity_totals
-from tally.schemas import POST, REPORT
+from tally.schemas import POST, REPORT, REPORT_ISSUE
 from tally.session import scratch
 from tally.sinks import publish
 from tally.sources import delimited_table, topic_table
@@ -178,7 +178,7 @@ def zero_filled_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: events through the payload coding to each category's share of the total."""
     log = encode(inputs.reports(spark, sf_dir), REPORT_FIELDS)
-    counts = count_by(tracked(decode(log, REPORT), TRACKED), "issue")
+    counts = count_by(tracked(decode(log, REPORT_ISSUE, filtered=True), TRACKED), "issue")
     return share_of_total(zero_fill(counts, TRACKED))
 
 

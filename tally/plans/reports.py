@@ -11,7 +11,7 @@ from tally.functions import decode, decode_checked, encode
 from tally.operators import quarantine, tracked
 from tally.plans.endpoints import Documents, Endpoint
 from tally.plans.publisher import REPORT_FIELDS
-from tally.schemas import ISSUES, REPORT, REPUBLISH_TOPIC, TOTALS_TOPIC
+from tally.schemas import ISSUES, REPORT, REPORT_ISSUE, REPUBLISH_TOPIC, TOTALS_TOPIC
 from tally.streaming import fan_out, running_totals, snapshot_sink, start
 
 
@@ -60,7 +60,7 @@ def start_reports(
         source.lineage,
         labels,
     )
-    totals = running_totals(decode(log, REPORT), labels)
+    totals = running_totals(decode(log, REPORT_ISSUE, filtered=True), labels)
     return [
         start(checked, f"{checkpoint}/records", fan_out(outputs), once=once, name="reports"),
         start(

@@ -25,7 +25,13 @@ from tally.plans.inputs import TRACKED, TRIGGERS, UNTRACKED
 from tally.plans.posts import SENTIMENTS, start_posts
 from tally.plans.publisher import post_log, publish_reports_stream
 from tally.plans.reports import start_reports, topics_of
-from tally.schemas import BATCH_SUFFIX, POLARITIES, REPORT, REPUBLISH_TOPIC, TOTALS_TOPIC
+from tally.schemas import (
+    BATCH_SUFFIX,
+    REPORT,
+    REPORT_ISSUE,
+    REPUBLISH_TOPIC,
+    TOTALS_TOPIC,
+)
 from tally.session import scratch
 from tally.sinks import publish, write_batch
 from tally.sources import (
@@ -78,7 +84,8 @@ def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "totals")
     source = _replay(spark, inputs.report_log(spark, sf_dir), folder)
-    records = decode(source.stream(spark, topics_of(TRACKED)), REPORT)
+    log = source.stream(spark, topics_of(TRACKED))
+    records = decode(log, REPORT_ISSUE, filtered=True)
     sink = snapshot_sink(to_folder(f"{folder}/snapshots"), TRACKED)
     finish(
         start(
@@ -146,7 +153,8 @@ def stream_processing_time_window(spark: SparkSession, sf_dir: str) -> DataFrame
     """Windows by the clock differ from run to run; the totals rolled up from them do not."""
     folder = scratch(spark, "clock")
     source = _replay(spark, inputs.report_log(spark, sf_dir, to="batch"), folder)
-    records = decode(source.stream(spark, topics_of(TRACKED, BATCH_SUFFIX)), REPORT)
+    log = source.stream(spark, topics_of(TRACKED, BATCH_SUFFIX))
+    records = decode(log, REPORT_ISSUE, filtered=True)
     sink = window_snapshot_sink(
         to_folder(f"{folder}/table"), to_folder(f"{folder}/snapshots"), TRACKED
     )

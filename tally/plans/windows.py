@@ -11,7 +11,7 @@ from tally.functions import decode
 from tally.operators import processing_windows, tracked, window_rows
 from tally.plans.endpoints import Endpoint
 from tally.plans.reports import topics_of
-from tally.schemas import BATCH_SUFFIX, ISSUES, REPORT, WINDOW_TOTALS_TOPIC
+from tally.schemas import BATCH_SUFFIX, ISSUES, REPORT_ISSUE, WINDOW_TOTALS_TOPIC
 from tally.streaming import start, window_snapshot_sink
 
 
@@ -29,7 +29,7 @@ def start_windows(
     and is handed over whole, so for runs of many days ``start_window_table`` is the better
     choice."""
     log = source.stream(spark, topics_of(labels, BATCH_SUFFIX))
-    counts = processing_windows(tracked(decode(log, REPORT), labels))
+    counts = processing_windows(tracked(decode(log, REPORT_ISSUE, filtered=True), labels))
     return start(
         counts,
         f"{checkpoint}/windows",
@@ -52,7 +52,7 @@ def start_window_table(
     """Each window once, when it is over, appended to a table; ``add_up`` over that table
     gives the totals. State holds the open windows only."""
     log = source.stream(spark, topics_of(labels, BATCH_SUFFIX))
-    counts = processing_windows(tracked(decode(log, REPORT), labels), delay=delay)
+    counts = processing_windows(tracked(decode(log, REPORT_ISSUE, filtered=True), labels), delay=delay)
     return start(
         window_rows(counts), f"{checkpoint}/window-table", path=path, once=once, name="window-table"
     )

@@ -6,6 +6,9 @@ from __future__ import annotations
 POST = "id string, sentiment string, hashtag string"
 REPORT = "id string, datetime string, issue string"
 
+# The part of a report that counting needs.
+REPORT_ISSUE = "issue string"
+
 # Columns of the delimited input files that become record fields.
 POST_COLUMNS = {"id": "ItemID", "sentiment": "Sentiment", "text": "SentimentText"}
 REPORT_COLUMNS = {
