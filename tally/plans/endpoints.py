@@ -37,6 +37,11 @@ class Files:
             F.col("_metadata.row_index").alias("row"),
         )
 
+    def outputs(self, spark: SparkSession, topic: str) -> DataFrame:
+        """What ``writer`` has left for a topic, as a stream of payloads."""
+        folder = f"{self.path}/topic={topic}"
+        return sources.output_stream(spark, folder, self.ignore_missing)
+
     def publish(self, log: DataFrame) -> None:
         sinks.publish(log, self.path)
 
@@ -72,6 +77,9 @@ class Kafka:
         )
         return sources.kafka_stream(spark, options, self.lineage)
 
+    def outputs(self, spark: SparkSession, topic: str) -> DataFrame:
+        return self.stream(spark, [topic])
+
     def publish(self, log: DataFrame) -> None:
         sinks.kafka_write(log, sinks.kafka_sink_options(self.servers))
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.functions import block_of, encode
-from tally.operators import post_records, report_records, route
+from tally.functions import block_of, encode, last_token
+from tally.operators import report_records, route
 from tally.schemas import POST_COLUMNS, REPORT_COLUMNS
 
 # The event types that stand for tracked issues; "view" is the untracked one.
@@ -46,9 +46,16 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Post records of the labelled documents."""
-    names = {"id": "doc_id", "sentiment": "toxic", "text": "text"}
-    return post_records(labelled(spark, sf_dir), names)
+    """Post records of the labelled documents. The token is taken before the join, or the
+    join would move whole texts between executors."""
+    tokens = table(spark, sf_dir, "documents").select(
+        F.col("doc_id"), last_token(F.col("text")).alias("hashtag")
+    )
+    return tokens.join(table(spark, sf_dir, "labels"), "doc_id").select(
+        F.col("doc_id").cast("string").alias("id"),
+        F.col("toxic").cast("string").alias("sentiment"),
+        "hashtag",
+    )
 
 
 def report_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

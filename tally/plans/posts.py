@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tally.functions import decode, polarity
 from tally.operators import batch_document, count_by, tag_batch
 from tally.plans.endpoints import Documents, Endpoint
-from tally.schemas import POLARITIES, POSITIVE_CODE, POST, POST_TOPIC
+from tally.schemas import POLARITIES, POSITIVE_CODE, POST_SENTIMENT, POST_TOPIC
 from tally.streaming import snapshot_sink, start
 
 SENTIMENTS = ("0", "1")
@@ -44,7 +44,9 @@ def start_posts(
     positive: str = POSITIVE_CODE,
     once: bool = False,
 ) -> list[StreamingQuery]:
-    posts = decode(source.stream(spark, [POST_TOPIC]), POST)
+    """Two queries over the topic of posts. A callback gets its batch already computed, so
+    nothing would prune the unread fields there: only the sentiment is decoded."""
+    posts = decode(source.stream(spark, [POST_TOPIC]), POST_SENTIMENT)
     return [
         start(
             posts,

@@ -25,6 +25,7 @@ from tally.plans.inputs import TRACKED, TRIGGERS, UNTRACKED
 from tally.plans.posts import SENTIMENTS, start_posts
 from tally.plans.publisher import post_log, publish_reports_stream
 from tally.plans.reports import start_reports, topics_of
+from tally.plans.shares import start_shares
 from tally.schemas import (
     BATCH_SUFFIX,
     REPORT,
@@ -185,6 +186,18 @@ def stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.select("issue", "n")
 
 
+def stream_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job that reads a totals topic; its newest table of sums and shares."""
+    folder = scratch(spark, "shares")
+    source = Files(f"{folder}/topics")
+    messages = batch.snapshot_publish(spark, sf_dir).select("value")
+    source.writer(TOTALS_TOPIC)(messages, 0)
+    write = to_folder(f"{folder}/table")
+    finish(start_shares(spark, source, write, folder, labels=TRACKED, once=True))
+    table = read_batches(spark, f"{folder}/table", "issue string, n bigint, share double")
+    return latest_batch(table).select("issue", "n", "share")
+
+
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job of the report stream over a log that holds foreign payloads too; rows per
     output and category, or reason of rejection, and the totals kept beside them."""
@@ -243,6 +256,12 @@ QUERIES = {
     "stream_window_counts": (stream_window_counts, batch.WINDOWS_SQL),
     "stream_processing_time_window": (stream_processing_time_window, TOTALS_SQL),
     "stream_snapshots": (stream_snapshots, batch.QUERIES["snapshot_accumulate"][1]),
+    "stream_shares": (
+        stream_shares,
+        f"""
+    WITH c AS ({batch.QUERIES["snapshot_accumulate"][1]})
+    SELECT issue, n, round(100.0 * n / sum(n) OVER (), 2) AS share FROM c""",
+    ),
     "stream_fanout": (
         stream_fanout,
         f"""

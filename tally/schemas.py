@@ -6,7 +6,8 @@ from __future__ import annotations
 POST = "id string, sentiment string, hashtag string"
 REPORT = "id string, datetime string, issue string"
 
-# The part of a report that counting needs.
+# The parts of the records that counting needs.
+POST_SENTIMENT = "sentiment string"
 REPORT_ISSUE = "issue string"
 
 # Columns of the delimited input files that become record fields.

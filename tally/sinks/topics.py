@@ -6,13 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 
-def publish(log: DataFrame, path: str, mode: str = "append") -> None:
+def publish(
+    log: DataFrame, path: str, mode: str = "append", even_files: bool = False
+) -> None:
     """Write ``value`` to the folder of each row's ``topic``.
 
     Tasks write straight from their input, without a shuffle: a topic that holds much of
-    the data is spread over all tasks, and a task opens one file per topic at most.
+    the data is spread over all tasks, and a task opens one file per topic at most. From a
+    very large input that makes many small files. With ``even_files`` the rows are shuffled
+    by topic into pieces of the session's advisory size; large topics are cut into several
+    pieces, so no task gets a whole one.
     """
-    log.select("value", "topic").write.mode(mode).partitionBy("topic").parquet(path)
+    rows = log.select("value", "topic")
+    if even_files:
+        rows = rows.hint("rebalance", "topic")
+    rows.write.mode(mode).partitionBy("topic").parquet(path)
 
 
 def publish_stream(log: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:

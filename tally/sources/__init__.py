@@ -6,6 +6,7 @@ from tally.sources.topics import (
     bytes_per_trigger,
     file_stream,
     latest_batch,
+    output_stream,
     read_batches,
     topic_stream,
     topic_table,
@@ -20,6 +21,7 @@ __all__ = [
     "kafka_stream",
     "kafka_table",
     "latest_batch",
+    "output_stream",
     "read_batches",
     "topic_stream",
     "topic_table",

@@ -9,12 +9,15 @@ from pyspark.sql.types import StringType, StructField, StructType
 def _options(multiline: bool) -> dict[str, str]:
     # A quote inside a quoted field is written twice. Line breaks inside a field make a file
     # unsplittable, so they have to be asked for. With a header that differs from the
-    # schema the read fails; by default Spark would assign columns by position.
+    # schema the read fails; by default Spark would assign columns by position. A quoted
+    # empty field is an empty text: it is null by default, as it equals the null text, which
+    # is therefore set to something no field holds. An unquoted one stays null.
     return {
         "header": "true",
         "escape": '"',
         "multiLine": str(multiline).lower(),
         "enforceSchema": "false",
+        "nullValue": "\u0000",
     }
 
 
