@@ -4,6 +4,7 @@ from tally.operators.counts import (
     add_up,
     batch_document,
     count_by,
+    document,
     label_counts,
     label_rows,
     share_of_total,
@@ -26,6 +27,7 @@ __all__ = [
     "add_up",
     "batch_document",
     "count_by",
+    "document",
     "event_windows",
     "label_counts",
     "label_rows",

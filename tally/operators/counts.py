@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -42,16 +42,27 @@ def batch_document(
     ``other`` names a column for the rows that have none of the values. The result is that
     of a pivot, in one aggregation and one shuffle where a pivot takes two.
     """
+    return df.groupBy(quoted(batch)).agg(*_value_counts(values, column, other))
+
+
+def document(
+    df: DataFrame, values: Sequence[str], column: str = "issue", other: str | None = None
+) -> DataFrame:
+    """``batch_document`` of a frame that is one batch: a single row."""
+    return df.agg(*_value_counts(values, column, other))
+
+
+def _value_counts(values: Sequence[str], column: str, other: str | None) -> list[Column]:
     label = quoted(column)
     counts = [F.count_if(label == F.lit(v)).alias(v) for v in values]
     if other is not None:
         listed = F.coalesce(label.isin(*values), F.lit(False))
         counts.append(F.count_if(~listed).alias(other))
-    return df.groupBy(quoted(batch)).agg(*counts)
+    return counts
 
 
 def label_counts(counts: DataFrame, labels: Sequence[str], column: str, n: str = "n") -> DataFrame:
-    """Counts per label as a single row with one column per label, zeros included."""
+    """Counts per label, added up, as a single row with one column per label, zeros included."""
     label, value = quoted(column), quoted(n)
     zero = F.lit(0).cast("bigint")
     return counts.agg(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tally.functions import decode, polarity
-from tally.operators import batch_document, count_by, tag_batch
+from tally.operators import count_by, document
 from tally.plans.endpoints import Documents, Endpoint
 from tally.schemas import POLARITIES, POSITIVE_CODE, POST_SENTIMENT, POST_TOPIC
 from tally.streaming import snapshot_sink, start
@@ -24,8 +24,7 @@ def sentiment_document(
     that are not among ``sentiments``, and missing ones, are counted together."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        counts = batch_document(tag_batch(batch, batch_id), sentiments, "sentiment", other="other")
-        write(counts.drop("batch_id"), batch_id)
+        write(document(batch, sentiments, "sentiment", other="other"), batch_id)
 
     return sink
 
@@ -61,7 +60,7 @@ def start_posts(
             snapshot_sink(totals, POLARITIES, "polarity"),
             mode="complete",
             once=once,
-            keys=len(POLARITIES),
+            state_width=len(POLARITIES),
             name="post-totals",
         ),
     ]

@@ -69,7 +69,7 @@ def start_reports(
             snapshot_sink(out.writer(TOTALS_TOPIC), labels),
             mode="complete",
             once=once,
-            keys=len(labels),
+            state_width=len(labels),
             name="report-totals",
         ),
     ]

@@ -42,6 +42,6 @@ def start_shares(
         share_sink(write, labels),
         mode="complete",
         once=once,
-        keys=len(labels),
+        state_width=len(labels),
         name=f"shares-{topic}",
     )

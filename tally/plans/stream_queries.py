@@ -26,6 +26,7 @@ from tally.plans.posts import SENTIMENTS, start_posts
 from tally.plans.publisher import post_log, publish_reports_stream
 from tally.plans.reports import start_reports, topics_of
 from tally.plans.shares import start_shares
+from tally.plans.windows import STATE_WIDTH
 from tally.schemas import (
     BATCH_SUFFIX,
     REPORT,
@@ -95,7 +96,7 @@ def stream_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
             sink,
             mode="complete",
             once=True,
-            keys=len(TRACKED),
+            state_width=len(TRACKED),
         )
     )
     return latest_totals(read_batches(spark, f"{folder}/snapshots", "value string"))
@@ -144,6 +145,9 @@ def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             to_folder(f"{folder}/table"),
             mode="complete",
             once=True,
+            # Here a task may send rows of very many windows, so the width follows the
+            # cluster and not the number of categories.
+            state_width=spark.sparkContext.defaultParallelism,
         )
     )
     table = latest_batch(read_batches(spark, f"{folder}/table", WINDOW_ROW))
@@ -160,7 +164,8 @@ def stream_processing_time_window(spark: SparkSession, sf_dir: str) -> DataFrame
         to_folder(f"{folder}/table"), to_folder(f"{folder}/snapshots"), TRACKED
     )
     counts = processing_windows(tracked(records, TRACKED))
-    finish(start(counts, f"{folder}/checkpoint", sink, mode="complete", once=True))
+    checkpoint = f"{folder}/checkpoint"
+    finish(start(counts, checkpoint, sink, mode="complete", once=True, state_width=STATE_WIDTH))
     return latest_totals(read_batches(spark, f"{folder}/snapshots", "value string"))
 
 
@@ -179,7 +184,7 @@ def stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
             to_folder(f"{folder}/sums"),
             mode="complete",
             once=True,
-            keys=len(TRACKED),
+            state_width=len(TRACKED),
         )
     )
     sums = latest_batch(read_batches(spark, f"{folder}/sums", "issue string, n bigint"))

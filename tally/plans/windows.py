@@ -14,6 +14,9 @@ from tally.plans.reports import topics_of
 from tally.schemas import BATCH_SUFFIX, ISSUES, REPORT_ISSUE, WINDOW_TOTALS_TOPIC
 from tally.streaming import start, window_snapshot_sink
 
+# Four labels and six windows a minute make some twelve million rows of state in a year.
+STATE_WIDTH = 16
+
 
 def start_windows(
     spark: SparkSession,
@@ -36,6 +39,7 @@ def start_windows(
         window_snapshot_sink(table, out.writer(WINDOW_TOTALS_TOPIC), labels),
         mode="complete",
         once=once,
+        state_width=STATE_WIDTH,
         name="report-windows",
     )
 
@@ -54,5 +58,10 @@ def start_window_table(
     log = source.stream(spark, topics_of(labels, BATCH_SUFFIX))
     counts = processing_windows(tracked(decode(log, REPORT_ISSUE, filtered=True), labels), delay=delay)
     return start(
-        window_rows(counts), f"{checkpoint}/window-table", path=path, once=once, name="window-table"
+        window_rows(counts),
+        f"{checkpoint}/window-table",
+        path=path,
+        once=once,
+        state_width=STATE_WIDTH,
+        name="window-table",
     )

@@ -21,13 +21,14 @@ def start(
     path: str | None = None,
     mode: str = "append",
     once: bool = False,
-    keys: int | None = None,
+    state_width: int | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     """Start ``df`` into a per-batch callback, or else into the sink ``fmt`` at ``path``.
 
     ``once`` handles what is available and ends, otherwise a batch begins as soon as the
-    last one is done. ``keys`` says that the query's state has at most so many rows.
+    last one is done. ``state_width`` bounds the number of state partitions; give it where
+    the state is small, see ``state_partitions``.
     """
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if sink is not None:
@@ -36,7 +37,7 @@ def start(
         writer = writer.format(fmt)
         if path is not None:
             writer = writer.option("path", path)
-    return begin(writer, df, once=once, keys=keys, name=name)
+    return begin(writer, df, once=once, state_width=state_width, name=name)
 
 
 def begin(
@@ -44,16 +45,16 @@ def begin(
     df: DataFrame,
     *,
     once: bool = False,
-    keys: int | None = None,
+    state_width: int | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
     if name is not None:
         writer = writer.queryName(name)
     if once:
         writer = writer.trigger(availableNow=True)
-    if keys is None:
+    if state_width is None:
         return writer.start()
-    with state_partitions(df.sparkSession, keys):
+    with state_partitions(df.sparkSession, state_width):
         return writer.start()
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tally.functions import decode_snapshots, snapshot_json
-from tally.operators import add_up, count_by, label_counts, tracked, window_rows
+from tally.operators import count_by, label_counts, tracked, window_rows
 from tally.schemas import ISSUES
 from tally.sinks import write_batch
 
@@ -56,8 +56,7 @@ def window_snapshot_sink(
         try:
             if table is not None:
                 table(window_rows(counts, column), batch_id)
-            per_label = add_up(counts, column)
-            totals(snapshots(per_label, labels, column, "total"), batch_id)
+            totals(snapshots(counts, labels, column), batch_id)
         finally:
             counts.unpersist()
 

@@ -83,7 +83,7 @@ def totals_query(folders, labels=LABELS):
         snapshot_sink(to_folder(folders["out"]), labels),
         mode="complete",
         once=True,
-        keys=len(labels),
+        state_width=len(labels),
     )
 
 
@@ -141,7 +141,7 @@ def test_update_mode_gives_changed_categories_only(spark, folders):
         to_folder(folders["out"]),
         mode="update",
         once=True,
-        keys=2,
+        state_width=2,
     )
     run_batches(spark, folders, query)
     rows = read_batches(spark, folders["out"], "issue string, n bigint").collect()
