@@ -108,7 +108,11 @@ class Documents:
     options: dict[str, str] | None = None
     path: str | None = None
 
-    def writer(self, key: Sequence[str]) -> Write:
+    def key(self, lineage: Sequence[str]) -> Sequence[str]:
+        """The columns by which documents are told apart, as far as they have to be."""
+        return lineage if self.options is not None else ()
+
+    def writer(self, key: Sequence[str] = ()) -> Write:
         return lambda df, batch_id: sinks.write_documents(
             df, batch_id, key, self.options, self.path
         )

@@ -50,7 +50,7 @@ def start_posts(
         start(
             posts,
             f"{checkpoint}/documents",
-            sentiment_document(documents.writer(["batch_id"])),
+            sentiment_document(documents.writer()),
             once=once,
             name="post-documents",
         ),

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tally.functions import decode, decode_checked, encode
-from tally.operators import quarantine, tracked
+from tally.operators import quarantine, tracked, wanted
 from tally.plans.endpoints import Documents, Endpoint
 from tally.plans.publisher import REPORT_FIELDS
 from tally.schemas import ISSUES, REPORT, REPORT_ISSUE, REPUBLISH_TOPIC, TOTALS_TOPIC
@@ -52,17 +53,20 @@ def start_reports(
     which a shared, fully decoded batch would rule out.
     """
     log = source.stream(spark, topics_of(labels))
-    checked = decode_checked(log, REPORT, keep=source.lineage)
+    record_key, reject_key = documents.key(source.lineage), rejected.key(source.lineage)
+    checked = decode_checked(log, REPORT, keep=record_key or reject_key)
+    # The batch is kept while it is written, so it carries no text that no output needs.
+    lean = checked.withColumn("raw", F.when(~wanted(labels), F.col("raw")))
     outputs = record_outputs(
-        documents.writer(source.lineage),
+        documents.writer(record_key),
         out.writer(REPUBLISH_TOPIC),
-        rejected.writer(source.lineage),
-        source.lineage,
+        rejected.writer(reject_key),
+        record_key,
         labels,
     )
     totals = running_totals(decode(log, REPORT_ISSUE, filtered=True), labels)
     return [
-        start(checked, f"{checkpoint}/records", fan_out(outputs), once=once, name="reports"),
+        start(lean, f"{checkpoint}/records", fan_out(outputs), once=once, name="reports"),
         start(
             totals,
             f"{checkpoint}/totals",

@@ -51,6 +51,17 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/tally/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the length of a block."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def state_partitions(spark: SparkSession, most: int) -> Iterator[None]:
     """Start a stateful query with at most ``most`` state partitions.
@@ -60,9 +71,6 @@ def state_partitions(spark: SparkSession, most: int) -> Iterator[None]:
     hundreds of state stores a wide default would make it commit at every trigger: rows
     are combined before the shuffle, so each task sends one row per category.
     """
-    before = spark.conf.get(SHUFFLE_PARTITIONS)
-    spark.conf.set(SHUFFLE_PARTITIONS, str(max(1, min(most, int(before)))))
-    try:
+    width = max(1, min(most, int(spark.conf.get(SHUFFLE_PARTITIONS))))
+    with setting(spark, SHUFFLE_PARTITIONS, str(width)):
         yield
-    finally:
-        spark.conf.set(SHUFFLE_PARTITIONS, before)

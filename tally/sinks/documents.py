@@ -29,21 +29,27 @@ def document_options(uri: str, database: str, collection: str) -> dict[str, str]
 
 
 def documents(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Add the document key, made of columns that identify the row: topic, partition and
-    offset for a record, the batch id for a batch's counts."""
-    return df.withColumn("_id", F.concat_ws("-", *[quoted(c).cast("string") for c in key]))
+    """Put the document key in place of the columns that identify the row: topic, partition
+    and offset for a record, the batch id for a batch's counts."""
+    identity = F.concat_ws("-", *[quoted(c).cast("string") for c in key]).alias("_id")
+    return df.select(identity, *[quoted(c) for c in df.columns if c not in key])
 
 
 def write_documents(
     df: DataFrame,
     batch_id: int,
-    key: Sequence[str] = ("batch_id",),
+    key: Sequence[str] = (),
     options: dict[str, str] | None = None,
     path: str | None = None,
 ) -> None:
-    """Write one micro-batch, to the store if ``options`` are given, else below ``path``."""
+    """Write one micro-batch, to the store if ``options`` are given, else below ``path``.
+
+    In the store a row is known by its ``key`` columns; without any, it is the batch's only
+    row. Below ``path`` the batch's folder does that, and no key is needed.
+    """
     if options is not None:
-        keyed = documents(tag_batch(df, batch_id), key)
+        tagged = tag_batch(df, batch_id)
+        keyed = documents(tagged, key).drop("batch_id") if key else documents(tagged, ["batch_id"])
         keyed.write.format("mongodb").mode("append").options(**options).save()
     elif path is not None:
         write_batch(df, path, batch_id, "json")

@@ -2,30 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 
+from tally.session import setting
+
 Shape = Callable[[DataFrame], DataFrame]
 Write = Callable[[DataFrame, int], None]
 
+CACHE_COMPRESSION = "spark.sql.inMemoryColumnarStorage.compressed"
+
+
+@contextmanager
+def kept(batch: DataFrame) -> Iterator[DataFrame]:
+    """Hold a batch on the executors, on disk where memory is short, for the length of a
+    block. A lost part is computed again from the source.
+
+    It is held as it is: for a batch that is read two or three times, compressing the
+    columns costs more than parsing the payloads once more would.
+    """
+    with setting(batch.sparkSession, CACHE_COMPRESSION, "false"):
+        held = batch.persist()
+        try:
+            yield held
+        finally:
+            held.unpersist()
+
 
 def fan_out(outputs: dict[str, tuple[Shape, Write]]) -> Write:
     """A per-batch callback that reads and decodes a batch once and writes every output.
 
     Streaming queries do not share a scan, so separate queries would each read the source
-    again. The batch is kept by the executors, on disk where memory is short, and dropped
-    when its outputs are written; a lost part is read again from the source.
+    again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if len(outputs) > 1:
-            batch = batch.persist()
-        try:
+        with kept(batch) as held:
             for shape, sink in outputs.values():
-                sink(shape(batch), batch_id)
-        finally:
-            if len(outputs) > 1:
-                batch.unpersist()
+                sink(shape(held), batch_id)
 
     return write

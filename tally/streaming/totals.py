@@ -15,6 +15,7 @@ from tally.functions import decode_snapshots, snapshot_json
 from tally.operators import count_by, label_counts, tracked, window_rows
 from tally.schemas import ISSUES
 from tally.sinks import write_batch
+from tally.streaming.fanout import kept
 
 Write = Callable[[DataFrame, int], None]
 
@@ -52,13 +53,12 @@ def window_snapshot_sink(
     """
 
     def write(counts: DataFrame, batch_id: int) -> None:
-        counts = counts.persist()
-        try:
-            if table is not None:
-                table(window_rows(counts, column), batch_id)
+        if table is None:
             totals(snapshots(counts, labels, column), batch_id)
-        finally:
-            counts.unpersist()
+            return
+        with kept(counts) as held:
+            table(window_rows(held, column), batch_id)
+            totals(snapshots(held, labels, column), batch_id)
 
     return write
 

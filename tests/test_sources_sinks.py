@@ -144,6 +144,7 @@ def test_places_of_file_records_are_unique(spark, tmp_path):
     finish(start(log, str(tmp_path / "checkpoint"), path=str(tmp_path / "out"), once=True))
     back = spark.read.parquet(str(tmp_path / "out"))
     keyed = documents(back, Files.lineage)
+    assert keyed.columns == ["_id", "value"]
     assert keyed.count() == keyed.select("_id").distinct().count() == 10
 
 
@@ -165,7 +166,7 @@ def test_a_repeated_batch_replaces_its_own_output(spark, tmp_path):
 
 def test_documents_are_written_per_batch(spark, tmp_path):
     write_documents(spark.range(2), 5, path=str(tmp_path))
-    Documents(path=str(tmp_path)).writer(["batch_id"])(spark.range(1), 6)
+    Documents(path=str(tmp_path)).writer()(spark.range(1), 6)
     back = spark.read.json(str(tmp_path))
     assert sorted(map(tuple, back.select("batch_id", "id").collect())) == [(5, 0), (5, 1), (6, 0)]
     with pytest.raises(ValueError):
