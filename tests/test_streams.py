@@ -388,3 +388,28 @@ def test_wide_and_grouped_totals_agree(spark):
 def test_post_schema_is_text_only():
     assert all(f.endswith("string") for s in (POST, REPORT) for f in s.split(", "))
     assert topics_of(["a b"], "_batch") == ["ab_batch"]
+
+
+def test_waiting_notices_any_query_that_fails(spark, folders):
+    from tally.streaming import wait_for_any
+
+    def fail(df, batch_id):
+        raise RuntimeError("no such table")
+
+    add_batch(spark, folders["log"], "A")
+    spark.streams.resetTerminated()
+    query = start(read(spark, folders["log"]), folders["checkpoint"], fail, once=True)
+    try:
+        with pytest.raises(Exception, match="no such table"):
+            wait_for_any(spark)
+    finally:
+        spark.streams.resetTerminated()
+    assert query.exception() is not None
+
+
+def test_console_sink(spark, folders):
+    add_batch(spark, folders["log"], "AB")
+    query = start(read(spark, folders["log"]), folders["checkpoint"], fmt="console", once=True)
+    finish(query)
+    assert "console" in query.recentProgress[0].sink.description.lower()
+    assert query.recentProgress[0].numInputRows == 2
