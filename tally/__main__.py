@@ -159,8 +159,13 @@ def main(argv: list[str] | None = None) -> None:
         raise SystemExit("a streaming job needs --checkpoint")
     logging.basicConfig(level=logging.INFO)
     spark = configure(SparkSession.builder.appName(f"tally-{args.job}")).getOrCreate()
-    spark.streams.addListener(ProgressLog())
-    run(spark, args)
+    listener = ProgressLog()
+    spark.streams.addListener(listener)
+    try:
+        run(spark, args)
+    finally:
+        spark.streams.removeListener(listener)
+        spark.stop()
 
 
 if __name__ == "__main__":
