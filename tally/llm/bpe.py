@@ -13,6 +13,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tally.llm.storage import mapped
+
 # Words whose ids are remembered at a time in one Python process, and their longest length.
 MEMO_WORDS = 200_000
 MEMO_LENGTH = 64
@@ -205,7 +207,7 @@ def encode(
             yield pa.record_batch([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
-    return source.mapInArrow(run, "doc_id bigint, ids binary")
+    return mapped(source, run, "doc_id bigint, ids binary")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -220,7 +222,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
                 [*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"]
             )
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids binary, text string")
+    return mapped(encoded.select("doc_id", "ids"), run, "doc_id bigint, ids binary, text string")
 
 
 def round_trip(
@@ -247,4 +249,4 @@ def round_trip(
             )
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
-    return source.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return mapped(source, run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

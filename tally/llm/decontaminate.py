@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tally.llm import words as w
+from tally.llm.storage import mapped
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
@@ -96,6 +97,8 @@ class Benchmark:
 
 def longest(at, items, places, sizes) -> tuple[np.ndarray, ...]:
     """Windows that continue each other in text and item, joined into longest matches."""
+    if not len(at):
+        return at, items, places, sizes
     order = np.lexsort((at, at - places, items))
     at, items, places, sizes = at[order], items[order], places[order], sizes[order]
     new = np.ones(len(at), bool)
@@ -175,13 +178,13 @@ def find_matches(
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text")).dropna()
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
     passes = [
-        source.mapInArrow(_searcher(block, window, all_rows=True), RESULT)
+        mapped(source, _searcher(block, window, all_rows=True), RESULT)
         if k == 0
         else _with_digest(source, block, window)
         for k, block in enumerate(blocks(items, block_bytes))
     ]
     if not passes:
-        return source.mapInArrow(_searcher([], window, all_rows=True), RESULT)
+        return mapped(source, _searcher([], window, all_rows=True), RESULT)
     if len(passes) == 1:
         return passes[0]
     first = next(iter(blocks(items, block_bytes)))
@@ -208,7 +211,7 @@ def _with_digest(source: DataFrame, block, window: int, all_rows: bool = False)
                 yield whole.filter(keep)
 
     digest = F.sha2(F.coalesce("_text", F.lit("")).cast("binary"), 256).alias("_digest")
-    return source.select("doc_id", "_text", digest).mapInArrow(run, f"{RESULT}, _digest string")
+    return mapped(source.select("doc_id", "_text", digest), run, f"{RESULT}, _digest string")
 
 
 def judged(matches: DataFrame) -> DataFrame:
@@ -285,4 +288,4 @@ def decontaminate(
             yield batch.filter(pa.array(clean))
 
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema.fields])
-    return docs.mapInArrow(keep, schema)
+    return mapped(docs, keep, schema)

@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tally.llm import bpe, decontaminate, exact
+from tally.llm import (
+    bpe,
+    decontaminate,
+    exact,
+    licenses,
+    quality,
+    substrings,
+    suffixes,
+    toxicity,
+    urls,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,7 +79,59 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"))
+
+
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"))
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score_toxicity(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+    return found.select("doc_id", "held_out", "score", "predicted", F.size("evidence").alias("n_evidence"))
+
+
+def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
+SUBSTRING_SQL = """
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, p, array_to_string(list_slice(w, p, p + 19), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM doc WHERE len(w) >= 20)
+),
+later AS (SELECT doc_id, p FROM win QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, p) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS q FROM later),
+word AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS q FROM doc),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY q) AS s, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, q) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(s, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)
+"""
+
+
+def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeated_bytes(table(spark, sf_dir, "documents")).drop("removed")
+
+
 QUERIES = {
+    "op3_substring_dedup": (substring_dedup, SUBSTRING_SQL),
+    "op6_suffix_array_dedup": (suffix_array_dedup, None),
+    "op1_url_filters": (url_filters, None),
+    "op5_quality_classifier": (quality_classifier, None),
+    "op7_toxicity": (toxicity_scores, None),
+    "op8_license_scans": (license_scans, None),
     "op4_exact_dedup": (exact_dedup, EXACT_SQL),
     "op9_benchmark_decontamination": (benchmark_decontamination, BENCHMARK_SQL),
     "op10_bpe": (bpe_round_trip, None),

@@ -1,11 +1,20 @@
-"""Where long jobs cut their lineage."""
+"""Where long jobs cut their lineage, and how Python steps reach the executors."""
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
+from pyspark import SparkContext
 from pyspark.sql import DataFrame
 
 from tally.session import scratch
 
+PACKAGE = Path(__file__).resolve().parents[1]
+
+_shipped: dict[str, str] = {}
+
 
 def cut(frame: DataFrame) -> DataFrame:
     """``frame`` written to the checkpoint folder and read back from there.
@@ -19,3 +28,19 @@ def cut(frame: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch(spark, "checkpoints"))
     return frame.checkpoint()
+
+
+def ship(context: SparkContext) -> None:
+    """Send this package's code to the executors, once a session. Spark's own file server
+    hands it out; no task reads the archive's place on the driver."""
+    if context.applicationId not in _shipped:
+        folder = tempfile.mkdtemp(prefix="package-")
+        archive = shutil.make_archive(f"{folder}/{PACKAGE.name}", "zip", PACKAGE.parent, PACKAGE.name)
+        context.addPyFile(archive)
+        _shipped[context.applicationId] = archive
+
+
+def mapped(frame: DataFrame, function, schema) -> DataFrame:
+    """``frame.mapInArrow`` with this package's code at hand on the executors."""
+    ship(frame.sparkSession.sparkContext)
+    return frame.mapInArrow(function, schema)
