@@ -10,6 +10,7 @@ from tally.llm import (
     decontaminate,
     exact,
     licenses,
+    ngrams,
     quality,
     substrings,
     suffixes,
@@ -125,7 +126,34 @@ def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeated_bytes(table(spark, sf_dir, "documents")).drop("removed")
 
 
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.similar_sets(table(spark, sf_dir, "documents")).drop("n_links")
+
+
+NGRAM_SQL = f"""
+WITH RECURSIVE
+doc AS (SELECT doc_id, regexp_extract_all(coalesce({_FOLD}, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, p, p + 4), ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM doc WHERE len(w) > 0)
+),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+link AS (
+  SELECT x, y FROM shared JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y
+  WHERE 100 * c >= 80 * (p.n + q.n - c)
+),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, y FROM reach JOIN link ON r = x)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(r) AS component_id
+FROM reach LEFT JOIN size USING (doc_id) GROUP BY doc_id
+"""
+
+
 QUERIES = {
+    "op2_ngram_jaccard_join": (ngram_jaccard_join, NGRAM_SQL),
     "op3_substring_dedup": (substring_dedup, SUBSTRING_SQL),
     "op6_suffix_array_dedup": (suffix_array_dedup, None),
     "op1_url_filters": (url_filters, None),
