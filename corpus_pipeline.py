@@ -6,14 +6,22 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tally.llm import bpe, decontaminate, exact
+from tally.llm import bpe, decontaminate, exact, ngrams, quality
 from tally.session import scratch
 
 
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_exact(docs)
 
 
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngrams.keep_one(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -23,7 +31,9 @@ def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("quality classifier", quality_classifier),
     ("exact dedup", exact_dedup),
+    ("n-gram Jaccard join", ngram_jaccard_join),
     ("benchmark decontamination", benchmark_decontamination),
     ("BPE encoding and decoding", bpe_encoding),
 ]
