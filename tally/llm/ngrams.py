@@ -51,6 +51,10 @@ def bands(size: int, percent: int = PERCENT) -> range:
     return range(size.bit_length() - 1, (100 * size // percent).bit_length())
 
 
+def _band_salt(band: int) -> np.uint64:
+    return np.uint64((band + 1) * int(_BAND_SALT) & ((1 << 64) - 1))
+
+
 def segments(values: np.ndarray, band: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Segments of a sorted set that hold something: (signature, size, first place)."""
     top = (2 << band) - 1
@@ -58,7 +62,7 @@ def segments(values: np.ndarray, band: int, percent: int = PERCENT) -> tuple[np.
     number = ((values >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
     first = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
     sums = np.add.reduceat(w.mix(values), first)
-    salt = number[first] * _SEGMENT_SALT + np.uint64(band + 1) * _BAND_SALT
+    salt = number[first] * _SEGMENT_SALT + _band_salt(band)
     return w.mix(sums + salt), np.diff(np.append(first, len(values))), first
 
 
@@ -114,7 +118,7 @@ def _neighbours(length: int, percent: int):
                     top = (2 << band) - 1
                     m = max(top // SEGMENT, most_different(top, percent) + 1)
                     place = ((values >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
-                    salt = place * _SEGMENT_SALT + np.uint64(band + 1) * _BAND_SALT
+                    salt = place * _SEGMENT_SALT + _band_salt(band)
                     less = w.mix(np.add.reduceat(mixed, first)[number] - mixed + salt)
                     for column, value in zip(
                         out,
@@ -139,7 +143,7 @@ def _neighbours(length: int, percent: int):
 def _choose(percent: int):
     """Cost-based allocation of one set in one band: which of its signatures it looks up."""
 
-    def run(key, group: pa.Table) -> pa.Table:
+    def run(group: pa.Table) -> pa.Table:
         segment = group.column("segment").to_numpy()
         less = group.column("less").to_numpy(zero_copy_only=False)
         cost = group.column("cost").to_numpy()
