@@ -96,6 +96,16 @@ def spans_array(starts: np.ndarray, length: int) -> np.ndarray:
     return np.stack([starts[first], starts[last] + length], axis=1)
 
 
+def merged(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Intervals with those that overlap or touch put together, in order."""
+    if not len(starts):
+        return np.zeros((0, 2), np.int64)
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    first = np.flatnonzero(np.append(True, starts[1:] > reach[:-1]))
+    return np.stack([starts[first], reach[np.append(first[1:], len(starts)) - 1]], axis=1)
+
+
 def joined(base: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     """Documents with what was gathered for them. All such joins read one shuffle of texts."""
     return base.join(lists, ["_id", "_row"], how)

@@ -67,55 +67,58 @@ def _anchors(length: int):
     return find
 
 
-def _pieces(length: int, with_bytes: bool):
-    """Passages of windows around one anchor: where they start, how many windows they have."""
+def _pieces(length: int, frequent: bool, with_bytes: bool = True):
+    """Passages of windows around one anchor: where they start, how many windows they have.
+
+    Those of frequent anchors (over ``SHARD_PIECES`` occurrences) and the others are asked
+    for separately.
+    """
     width = length - GRAM + 1
 
+    def passages(data: np.ndarray, values: np.ndarray, totals: np.ndarray):
+        for at, part in _steps(data, length):
+            least = repeats.sliding_min(gram_values(part), width)
+            slot = np.minimum(np.searchsorted(values, least), len(values) - 1)
+            # A passage ends where the least gram changes, or after as many windows as one
+            # place of a gram can be in.
+            firsts = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+            lasts = np.append(firsts[1:], len(least))
+            hit = values[slot[firsts]] == least[firsts]
+            for a, b in zip(firsts[hit].tolist(), lasts[hit].tolist()):
+                for x in range(a, b, width):
+                    yield slot[a], at + x, min(width, b - x), part[x : min(x + width, b) + length - 1].tobytes()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
             for row, data in _texts(batch.column(2)):
                 known = batch.column(3)[row].values
-                values = known.field("hash").to_numpy(zero_copy_only=False).view(np.uint64)
+                values = known.field("hash").to_numpy(zero_copy_only=False)
                 totals = known.field("total").to_numpy(zero_copy_only=False)
-                order = np.argsort(values)
-                values, totals = values[order], totals[order]
-                for at, part in _steps(data, length):
-                    grams = gram_values(part)
-                    least = repeats.sliding_min(grams, width)
-                    slot = np.minimum(np.searchsorted(values, least), len(values) - 1)
-                    hit = values[slot] == least
-                    # A passage ends where the least gram changes, or after as many windows as
-                    # one place of a gram can be in.
-                    new = np.ones(len(least) + 1, bool)
-                    new[1:-1] = (least[1:] != least[:-1])
-                    firsts = np.flatnonzero(new)
-                    for a, b in zip(firsts.tolist(), firsts[1:].tolist()):
-                        if not hit[a]:
-                            continue
-                        for x in range(a, b, width):
-                            y = min(x + width, b)
-                            piece = part[x : y + length - 1].tobytes()
-                            for column, value in zip(
-                                out,
-                                (row, int(least[a]) - (1 << 64) * (int(least[a]) >> 63), int(totals[slot[a]]), hashlib.sha256(piece).digest()[:16], at + x, y - x, piece if with_bytes else None),
-                            ):
-                                column.append(value)
+                some = (totals > SHARD_PIECES) == frequent
+                if not some.any():
+                    continue
+                order = np.argsort(values[some].view(np.uint64))
+                values, totals = values[some][order], totals[some][order]
+                for slot, at, n, piece in passages(data, values.view(np.uint64), totals):
+                    digest = hashlib.sha256(piece).digest()[:16] if frequent else None
+                    fields = (row, values[slot], totals[slot], digest, at, n, piece if with_bytes else None)
+                    for column, value in zip(out, fields):
+                        column.append(value)
             at = pa.array(out[0], pa.int64())
-            columns = [
-                batch.column(0).take(at),
-                batch.column(1).take(at),
-                pa.array(out[1], pa.int64()),
-                pa.array(out[2], pa.int64()),
-                pa.array(out[3], pa.binary()),
-                pa.array(out[4], pa.int64()),
-                pa.array(out[5], pa.int32()),
-            ]
-            names = ["_id", "_row", "hash", "total", "digest", "at", "n"]
-            if with_bytes:
-                columns.append(pa.array(out[6], pa.binary()))
-                names.append("piece")
-            yield pa.record_batch(columns, names)
+            yield pa.record_batch(
+                [
+                    batch.column(0).take(at),
+                    batch.column(1).take(at),
+                    pa.array(out[1], pa.int64()),
+                    pa.array(out[2], pa.int64()),
+                    pa.array(out[3], pa.binary()),
+                    pa.array(out[4], pa.int64()),
+                    pa.array(out[5], pa.int32()),
+                    pa.array(out[6], pa.binary()),
+                ],
+                ["_id", "_row", "hash", "total", "digest", "at", "n", "piece"],
+            )
 
     return run
 
@@ -229,29 +232,59 @@ class Shard:
         return out
 
 
-def _judge(length: int):
+def _runs(mark: np.ndarray) -> np.ndarray:
+    """First and end of each run of marked places, one after the other."""
+    edges = np.diff(np.concatenate([[False], mark, [False]]).astype(np.int8))
+    return np.flatnonzero(edges).astype(np.int32)
+
+
+def _within(length: int):
+    """Runs of repeated windows of each passage of a shard; equal passages are sorted once."""
+
+    def run(group: pa.Table) -> pa.Table:
+        number: dict[bytes, int] = {}
+        of = np.array([number.setdefault(p, len(number)) for p in group.column("piece").to_pylist()])
+        places = set(zip(of.tolist(), *(group.column(c).to_pylist() for c in ("_id", "_row", "at"))))
+        often = np.bincount([k for k, *_ in places], minlength=len(number)) > 1
+        shard = Shard(list(number), length)
+        mark = shard.repeated()
+        runs = [
+            np.array([0, b - a - length + 1], np.int32) if twice else _runs(mark[a : b - length + 1])
+            for a, b, twice in zip(shard.starts.tolist(), shard.ends.tolist(), often.tolist())
+        ]
+        some = np.flatnonzero(np.array([len(r) for r in runs])[of])
+        return pa.table(
+            {
+                **{c: group.column(c).take(pa.array(some)) for c in ("_id", "_row", "at")},
+                "runs": pa.array([runs[k] for k in of[some].tolist()], pa.list_(pa.int32())),
+            }
+        )
+
+    return run
+
+
+def _between(length: int):
+    """Runs of repeated windows of the passages of one part of an anchor, or of two parts."""
+
     def run(group: pa.Table) -> pa.Table:
         parts = group.column("part").to_numpy()
-        marks: list[tuple[int, np.ndarray]] = []
-        rows = [np.flatnonzero(parts == p) for p in np.unique(parts)]
         pieces = group.column("piece").to_pylist()
+        rows = [np.flatnonzero(parts == p) for p in np.unique(parts)]
         shards = [Shard([pieces[i] for i in some], length) for some in rows]
         # Two parts of one anchor meet to be compared with each other only.
-        if len(shards) == 1:
-            found = [shards[0].repeated()]
-        else:
-            found = list(shards[0].shared(shards[1]))
-        for shard, some, mark in zip(shards, rows, found):
-            for i, a, b in zip(some.tolist(), shard.starts.tolist(), shard.ends.tolist()):
-                at = np.flatnonzero(mark[a : b - length + 1])
-                if len(at):
-                    marks.append((i, at))
-        at = pa.array([i for i, _ in marks], pa.int64())
+        marks = [shards[0].repeated()] if len(shards) == 1 else shards[0].shared(shards[1])
+        found = [
+            (i, runs)
+            for shard, some, mark in zip(shards, rows, marks)
+            for i, a, b in zip(some.tolist(), shard.starts.tolist(), shard.ends.tolist())
+            if len(runs := _runs(mark[a : b - length + 1]))
+        ]
+        at = pa.array([i for i, _ in found], pa.int64())
         return pa.table(
             {
                 "hash": group.column("hash").take(at),
                 "digest": group.column("digest").take(at),
-                "marks": pa.array([m.astype(np.int32) for _, m in marks], pa.list_(pa.int32())),
+                "runs": pa.array([r for _, r in found], pa.list_(pa.int32())),
             }
         )
 
@@ -267,10 +300,10 @@ def _cut(length: int):
                 joined = np.zeros((0, 2), np.int64)
                 if found[row].is_valid:
                     lists = found[row].values
-                    at, marks = lists.field("at").to_numpy(zero_copy_only=False), lists.field("marks")
-                    sizes = np.diff(marks.offsets.to_numpy())
-                    flat = marks.flatten().to_numpy(zero_copy_only=False)
-                    joined = repeats.spans_array(np.unique(np.repeat(at, sizes) + flat), length)
+                    at, runs = lists.field("at").to_numpy(zero_copy_only=False), lists.field("runs")
+                    sizes = np.diff(runs.offsets.to_numpy())
+                    edges = np.repeat(at, sizes) + runs.flatten().to_numpy(zero_copy_only=False)
+                    joined = repeats.merged(edges[::2], edges[1::2] + length - 1)
                 digest, place, raw = hashlib.sha256(), 0, data.tobytes()
                 for a, b in joined.tolist():
                     digest.update(raw[place:a])
@@ -300,8 +333,8 @@ def remove_repeated_bytes(
     strings agree on it. Only passages around anchors that occur again are looked at. They
     are dealt to shards by anchor, equal passages once. A shard sorts its suffixes
     (``suffix_array``) and takes their common prefixes; strings whose prefix reaches
-    ``length`` are repeated. An anchor that occurs over ``SHARD_PIECES`` times is spread over
-    several shards, which are then compared in pairs by binary search of the one's windows
+    ``length`` are repeated. The passages of an anchor that occurs over ``SHARD_PIECES`` times
+    are spread over several shards, each different passage once, which are then compared in pairs by binary search of the one's windows
     in the other's suffix array.
 
     Null text is empty. Null doc_id and rows that repeat a doc_id are told apart by their
@@ -313,36 +346,39 @@ def remove_repeated_bytes(
     n_shards = max(1, -(-int(total) // SHARD_BYTES))
     hits = repeats.repeated_anchors(base, _anchors(length))
     source = repeats.joined(base, hits, "inner").select("_id", "_row", "_text", "hits")
-    kind = "_id bigint, _row bigint, hash bigint, total bigint, digest binary, at bigint, n int"
-    places = mapped(source, _pieces(length, False), kind)
-    pieces = mapped(source, _pieces(length, True), f"{kind}, piece binary")
+    kind = "_id bigint, _row bigint, hash bigint, total bigint, digest binary, at bigint, n int, piece binary"
+    place = "_id bigint, _row bigint, at bigint, runs array<int>"
 
-    # One row for each different passage; copies of one document's row count once.
-    distinct = pieces.groupBy("hash", "digest").agg(
+    dealt = mapped(source, _pieces(length, frequent=False), kind).select(
+        "_id", "_row", "at", "piece", F.pmod(F.xxhash64("hash"), F.lit(n_shards)).alias("task")
+    )
+    found = dealt.groupBy("task").applyInArrow(_within(length), place)
+
+    # Frequent anchors: one row for each different passage, in parts that meet in pairs.
+    passages = mapped(source, _pieces(length, frequent=True), kind)
+    spot = F.struct("_id", "_row", "at")
+    distinct = passages.groupBy("hash", "digest").agg(
         F.max("total").alias("total"),
-        F.min(F.struct("_id", "_row", "at")).alias("least"),
-        F.max(F.struct("_id", "_row", "at")).alias("most"),
+        F.min(spot).alias("least"),
+        F.max(spot).alias("most"),
         F.first("piece").alias("piece"),
         F.max("n").alias("n"),
     )
-    n_parts = F.greatest(F.ceil(F.col("total") / SHARD_PIECES), F.lit(1)).cast("int")
-    part = F.pmod(F.xxhash64("digest"), n_parts).cast("int")
-    spread = distinct.withColumn("n_parts", n_parts).withColumn("part", part)
-    few, many = spread.filter(F.col("n_parts") == 1), spread.filter(F.col("n_parts") > 1)
+    n_parts = F.ceil(F.col("total") / SHARD_PIECES).cast("int")
     pair = F.array(F.least("part", "other"), F.greatest("part", "other"))
-    tasks = few.select(
-        "hash", "digest", "piece", F.lit(0).alias("part"), F.pmod(F.xxhash64("hash"), F.lit(n_shards)).cast("string").alias("task")
-    ).unionByName(
-        many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1))).select(
-            "hash", "digest", "piece", "part", F.concat_ws("/", F.col("hash").cast("string"), F.array_join(pair, "/")).alias("task")
-        )
+    tasks = (
+        distinct.withColumn("n_parts", n_parts)
+        .withColumn("part", F.pmod(F.xxhash64("digest"), F.col("n_parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
+        .select("hash", "digest", "piece", "part", F.array_join(pair, "/").alias("pair"))
     )
-    judged = tasks.groupBy("task").applyInArrow(_judge(length), "hash bigint, digest binary, marks array<int>")
+    judged = tasks.groupBy("hash", "pair").applyInArrow(_between(length), "hash bigint, digest binary, runs array<int>")
     twice = distinct.filter(F.col("least") != F.col("most")).select(
-        "hash", "digest", F.sequence(F.lit(0), F.col("n") - 1).alias("marks")
+        "hash", "digest", F.array(F.lit(0), F.col("n")).alias("runs")
     )
-    marked = places.join(judged.unionByName(twice), ["hash", "digest"])
-    lists = repeats.gather(marked, F.col("at"), F.col("marks"))
+    spots = mapped(source, _pieces(length, frequent=True, with_bytes=False), kind).select("_id", "_row", "hash", "digest", "at")
+    frequent = spots.join(judged.unionByName(twice), ["hash", "digest"]).select("_id", "_row", "at", "runs")
+    lists = repeats.gather(found.unionByName(frequent), F.col("at"), F.col("runs"))
     final = repeats.joined(base, lists, "left").select("doc_id", "_text", "found")
     return mapped(
         final,
