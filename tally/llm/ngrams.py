@@ -89,11 +89,17 @@ def _describe(length: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, names, rows = [], [], []
-            for _, values in shingle_sets(batch.column(1), length):
+            seen: set[int] = set()
+            named = batch.column(0).is_valid().to_pylist()
+            for row, values in shingle_sets(batch.column(1), length):
                 sizes.append(len(values))
                 name = w.mix(np.add.reduce(w.mix(values + np.uint64(1)), keepdims=True) + np.uint64(len(values)))
                 names.append(int(_signed(name)[0]))
-                parts = [allocate(values, band, percent) for band in bands(len(values), percent)] if len(values) else []
+                parts = []
+                # Copies within a batch are indexed once.
+                if len(values) and named[row] and names[-1] not in seen:
+                    seen.add(names[-1])
+                    parts = [allocate(values, band, percent) for band in bands(len(values), percent)]
                 rows.append(_signed(np.concatenate(parts)) if parts else np.zeros(0, np.int64))
             yield pa.record_batch(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(rows, pa.list_(pa.int64()))],
@@ -177,6 +183,13 @@ def _verify(length: int, percent: int):
     return run
 
 
+def _lists(described: DataFrame) -> DataFrame:
+    """Sets under each signature that two or more of them keep: (signature, set, n)."""
+    rows = described.filter(F.col("doc_id").isNotNull()).select("set", "n", F.explode("signatures").alias("signature"))
+    again = rows.groupBy("signature").agg(F.count("*").alias("_times")).filter(F.col("_times") > 1)
+    return cut(rows.join(again.select("signature"), "signature").distinct())
+
+
 def similar_sets(
     docs: DataFrame, length: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -208,10 +221,7 @@ def similar_sets(
         .groupBy("set", "n")
         .agg(F.min("doc_id").alias("doc_id"))
     )
-    chosen = described.join(sets.select("doc_id", "set", "n"), ["doc_id", "set", "n"], "left_semi")
-    rows = chosen.select("set", "n", F.explode("signatures").alias("signature"))
-    again = rows.groupBy("signature").agg(F.count("*").alias("_times")).filter(F.col("_times") > 1).select("signature")
-    members = cut(rows.join(again, "signature"))
+    members = _lists(described)
 
     base = source.filter(F.col("doc_id").isNotNull())
     named = sets.select("set", "n", F.col("doc_id").alias("_owner"))

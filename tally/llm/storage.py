@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 from pathlib import Path
@@ -22,12 +23,20 @@ def cut(frame: DataFrame) -> DataFrame:
     The folder is the one that the cluster names in ``spark.checkpoint.dir``, so a lost
     executor loses nothing of it. A session that names none gets a scratch folder, which
     outside local mode is refused.
+
+    Once the table is written, shuffle files that led to it and that nothing else refers to
+    are garbage. They can be as large as the input, so they are not left to wait until the
+    driver happens to collect its garbage.
     """
     spark = frame.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch(spark, "checkpoints"))
-    return frame.checkpoint()
+    written = frame.checkpoint()
+    del frame
+    gc.collect()
+    context._jvm.System.gc()
+    return written
 
 
 def ship(context: SparkContext) -> None:
