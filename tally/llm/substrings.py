@@ -15,6 +15,9 @@ from tally.llm import words as w
 from tally.llm.storage import mapped
 
 WINDOW = 20
+# Bytes of corpus behind a shard of candidates, and occurrences of a half window in a shard.
+SHARD_BYTES = 4 << 20
+SHARD_RUNS = 4096
 
 
 def _runs(column: pa.Array) -> Iterator[tuple[int, np.ndarray, w.Words]]:
@@ -37,30 +40,79 @@ def _half_anchors(window: int):
     return find
 
 
-def _whole_windows(window: int):
-    """Windows of twice the length around a repeated one."""
+def _whole_windows(window: int, frequent: bool):
+    """Windows of twice the length around a repeated one, in runs that share it.
+
+    Those around frequent ones (over ``SHARD_RUNS`` occurrences) and the others are asked for
+    separately.
+    """
     half = window // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hits = batch.column(3)
-            keys, places = [], []
+            rows, anchor, places, keys = [], [], [], []
             for row, values, _ in _runs(batch.column(2)):
+                known = hits[row].values.field("hash").to_numpy(zero_copy_only=False).view(np.uint64)
+                total = hits[row].values.field("total").to_numpy(zero_copy_only=False)
+                known = known[(total > SHARD_RUNS) == frequent]
+                if not len(known):
+                    continue
                 short = w.grams(values, half)
+                whole = w.longer(short, half) if window == 2 * half else w.grams(values, window)
                 least = repeats.anchors(w.mix(short), window - half + 1)[0]
-                known = hits[row].values.field("hash").to_numpy(zero_copy_only=False).view(np.uint64)
-                at = np.flatnonzero(np.isin(least, known))
-                whole = w.mix(w.longer(short, half)[at]) if window == 2 * half else w.mix(w.grams(values, window)[at])
-                keys.append(whole.view(np.int64))
-                places.append(at.astype(np.int32))
+                new = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+                end = np.append(new[1:], len(least))
+                hit = np.isin(least[new], known)
+                whole = w.mix(whole).view(np.int64)
+                for a, b in zip(new[hit].tolist(), end[hit].tolist()):
+                    rows.append(row)
+                    anchor.append(least[a])
+                    places.append(a)
+                    keys.append(whole[a:b])
+            at = pa.array(rows, pa.int64())
             yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
-                ["_id", "_row", "keys", "places"],
+                [
+                    batch.column(0).take(at),
+                    batch.column(1).take(at),
+                    pa.array(np.array(anchor, np.uint64).view(np.int64)),
+                    pa.array(places, pa.int32()),
+                    pa.array(keys, pa.list_(pa.int64())),
+                ],
+                ["_id", "_row", "hash", "at", "keys"],
             )
 
     return run
 
 
+def _later(group: pa.Table) -> pa.Table:
+    """Windows of a shard that are not the first of their words."""
+    keys = group.column("keys").combine_chunks()
+    sizes = np.diff(keys.offsets.to_numpy())
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    values = keys.flatten().to_numpy(zero_copy_only=False)
+    doc, text = (group.column(c).to_numpy()[row] for c in ("_id", "_row"))
+    at = group.column("at").to_numpy()[row] + step
+    order = np.lexsort((at, text, doc, values))
+    value, place = values[order], np.stack([doc[order], text[order], at[order]])
+    first = np.append(True, value[1:] != value[:-1])
+    least = place[:, np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))] if len(first) else place
+    # Rows that repeat a document repeat its places.
+    late = order[(place != least).any(axis=0)]
+    late = late[np.argsort(late, kind="stable")]
+    count = np.bincount(row[late], minlength=len(sizes))
+    some = np.flatnonzero(count)
+    lists = np.split(at[late].astype(np.int32), np.cumsum(count[some])[:-1]) if len(some) else []
+    return pa.table(
+        {
+            "_id": group.column("_id").take(pa.array(some)),
+            "_row": group.column("_row").take(pa.array(some)),
+            "at": pa.array(lists, pa.list_(pa.int32())),
+        }
+    )
+
+
 def _remove(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,7 +124,7 @@ def _remove(window: int):
                     cover = np.zeros(b - a + 1, np.int32)
                     joined: np.ndarray = np.zeros((0, 2), np.int64)
                     if found[row].is_valid:
-                        at = np.unique(found[row].values.field("at").to_numpy(zero_copy_only=False))
+                        at = np.unique(found[row].values.field("at").flatten().to_numpy(zero_copy_only=False))
                         joined = repeats.spans_array(at, window)
                         cover[joined[:, 0]] += 1
                         np.add.at(cover, joined[:, 1], -1)
@@ -105,12 +157,14 @@ def remove_repeats(
 
     Level one looks at half windows. Of those inside a window only the one of least hash is
     counted; equal windows agree on it. Where it occurs once only, no window around it
-    repeats. What is left is extended to whole windows, which are counted in full, and all
-    but the first occurrence are removed. Half windows that are chosen by content are a
-    sixth of all words, and only candidates are extended.
+    repeats. What is left is extended to whole windows, and all but their first occurrence
+    are removed. Half windows that are chosen by content are a sixth of all words, and only
+    candidates are extended.
 
-    Texts are shuffled once, by id, and read from that shuffle twice. A window that stands in
-    a third of all documents is added up within tasks, and its rows are spread by the join.
+    Texts are shuffled once, by id, and read from that shuffle again. Whole windows are dealt
+    to shards by their half window. Windows around one that occurs over ``SHARD_RUNS`` times
+    are not: their first occurrences are added up within tasks before they are shuffled, and
+    their rows are spread by a join that can be split.
 
     Null or empty text has no words. Null doc_id counts as the smallest. Rows equal in id and
     text are one document, of which each row gets the result; where rows of one id differ,
@@ -118,20 +172,25 @@ def remove_repeats(
     compared by 64-bit values of their sequences.
     """
     base = repeats.keyed(docs, id_col, text_col)
+    total = docs.select(F.sum(F.octet_length(F.col(text_col)).cast("long"))).first()[0] or 0
+    n_shards = max(1, -(-int(total) // SHARD_BYTES))
     hits = repeats.repeated_anchors(base, _half_anchors(window))
-    candidates = mapped(
-        repeats.joined(base, hits, "inner").select("_id", "_row", "_text", "hits"),
-        _whole_windows(window),
-        "_id bigint, _row bigint, keys array<bigint>, places array<int>",
-    )
-    rows = candidates.select("_id", "_row", F.explode(F.arrays_zip("keys", "places")).alias("w")).select(
-        F.col("w.keys").alias("key"), "_id", "_row", F.col("w.places").alias("at")
+    source = repeats.joined(base, hits, "inner").select("_id", "_row", "_text", "hits")
+    kind = "_id bigint, _row bigint, hash bigint, at int, keys array<bigint>"
+
+    rare = mapped(source, _whole_windows(window, frequent=False), kind)
+    dealt = rare.withColumn("task", F.pmod(F.xxhash64("hash"), F.lit(n_shards)))
+    later = dealt.groupBy("task").applyInArrow(_later, "_id bigint, _row bigint, at array<int>")
+
+    common = mapped(source, _whole_windows(window, frequent=True), kind)
+    rows = common.select("_id", "_row", "at", F.posexplode("keys").alias("step", "key")).select(
+        "key", "_id", "_row", (F.col("at") + F.col("step")).alias("at")
     )
     place = F.struct("_id", "_row", "at")
     first = rows.groupBy("key").agg(F.min(place).alias("least"), F.max(place).alias("most"))
     first = first.filter(F.col("least") != F.col("most")).select("key", "least")
-    later = rows.join(first, "key").filter(place != F.col("least"))
-    lists = repeats.gather(later, F.col("at"))
-    source = repeats.joined(base, lists, "left").select("doc_id", "_text", "found")
+    often = rows.join(first, "key").filter(place != F.col("least"))
+    lists = repeats.gather(later.unionByName(often.select("_id", "_row", F.array("at").alias("at"))), F.col("at"))
+    final = repeats.joined(base, lists, "left").select(repeats.doc_id(), "_text", "found")
     kind = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, removed array<struct<first:int,end:int>>"
-    return mapped(source, _remove(window), kind)
+    return mapped(final, _remove(window), kind)
