@@ -19,11 +19,11 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Documents by (_id, _row): the row's id, and a value of its text.
 
     Different texts under one id thus stay apart, and rows that are equal in both are one
-    document. Null ids are the smallest, null texts empty.
+    document. Null ids are the smallest, null texts empty. All steps take the same three
+    columns, so that Spark can read one shuffle of them again.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"),
         F.xxhash64(text).alias("_row"),
         text.alias("_text"),
@@ -106,6 +106,11 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.stack([starts[first], reach[np.append(first[1:], len(starts)) - 1]], axis=1)
 
 
+def doc_id() -> Column:
+    """The id that a key stands for."""
+    return F.when(F.col("_id") != NO_ID, F.col("_id")).alias("doc_id")
+
+
 def joined(base: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     """Documents with what was gathered for them. All such joins read one shuffle of texts."""
     return base.join(lists, ["_id", "_row"], how)

@@ -246,12 +246,18 @@ def _within(length: int):
         of = np.array([number.setdefault(p, len(number)) for p in group.column("piece").to_pylist()])
         places = set(zip(of.tolist(), *(group.column(c).to_pylist() for c in ("_id", "_row", "at"))))
         often = np.bincount([k for k, *_ in places], minlength=len(number)) > 1
-        shard = Shard(list(number), length)
+        anchor = np.empty(len(number), np.int64)
+        anchor[of] = group.column("hash").to_numpy()
+        # An anchor whose passages are all equal needs no sorting: all their windows repeat.
+        _, which, different = np.unique(anchor, return_inverse=True, return_counts=True)
+        pieces = list(number)
+        runs = [np.array([0, len(p) - length + 1], np.int32) for p in pieces]
+        rest = np.flatnonzero((different[which] > 1) | ~often)
+        shard = Shard([pieces[k] for k in rest.tolist()], length)
         mark = shard.repeated()
-        runs = [
-            np.array([0, b - a - length + 1], np.int32) if twice else _runs(mark[a : b - length + 1])
-            for a, b, twice in zip(shard.starts.tolist(), shard.ends.tolist(), often.tolist())
-        ]
+        for k, a, b in zip(rest.tolist(), shard.starts.tolist(), shard.ends.tolist()):
+            if not often[k]:
+                runs[k] = _runs(mark[a : b - length + 1])
         some = np.flatnonzero(np.array([len(r) for r in runs])[of])
         return pa.table(
             {
@@ -350,7 +356,7 @@ def remove_repeated_bytes(
     place = "_id bigint, _row bigint, at bigint, runs array<int>"
 
     dealt = mapped(source, _pieces(length, frequent=False), kind).select(
-        "_id", "_row", "at", "piece", F.pmod(F.xxhash64("hash"), F.lit(n_shards)).alias("task")
+        "_id", "_row", "at", "hash", "piece", F.pmod(F.xxhash64("hash"), F.lit(n_shards)).alias("task")
     )
     found = dealt.groupBy("task").applyInArrow(_within(length), place)
 
@@ -377,9 +383,12 @@ def remove_repeated_bytes(
         "hash", "digest", F.array(F.lit(0), F.col("n")).alias("runs")
     )
     spots = mapped(source, _pieces(length, frequent=True, with_bytes=False), kind).select("_id", "_row", "hash", "digest", "at")
-    frequent = spots.join(judged.unionByName(twice), ["hash", "digest"]).select("_id", "_row", "at", "runs")
+    known = judged.unionByName(twice).groupBy("hash", "digest").agg(
+        F.flatten(F.collect_set("runs")).alias("runs")
+    )
+    frequent = spots.join(known, ["hash", "digest"]).select("_id", "_row", "at", "runs")
     lists = repeats.gather(found.unionByName(frequent), F.col("at"), F.col("runs"))
-    final = repeats.joined(base, lists, "left").select("doc_id", "_text", "found")
+    final = repeats.joined(base, lists, "left").select(repeats.doc_id(), "_text", "found")
     return mapped(
         final,
         _cut(length),
