@@ -51,22 +51,26 @@ def _whole_windows(window: int, frequent: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hits = batch.column(3)
-            rows, anchor, places, keys = [], [], [], []
+            rows, anchor, totals, places, keys = [], [], [], [], []
             for row, values, _ in _runs(batch.column(2)):
                 known = hits[row].values.field("hash").to_numpy(zero_copy_only=False).view(np.uint64)
                 total = hits[row].values.field("total").to_numpy(zero_copy_only=False)
-                known = known[(total > SHARD_RUNS) == frequent]
-                if not len(known):
+                some = (total > SHARD_RUNS) == frequent
+                if not some.any():
                     continue
+                order = np.argsort(known[some])
+                known, total = known[some][order], total[some][order]
                 short = w.grams(values, half)
                 whole = w.longer(short, half) if window == 2 * half else w.grams(values, window)
                 least = repeats.anchors(w.mix(short), window - half + 1)[0]
                 new = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
                 end = np.append(new[1:], len(least))
-                hit = np.isin(least[new], known)
+                slot = np.minimum(np.searchsorted(known, least[new]), len(known) - 1)
+                hit = known[slot] == least[new]
                 whole = w.mix(whole).view(np.int64)
-                for a, b in zip(new[hit].tolist(), end[hit].tolist()):
+                for a, b, n in zip(new[hit].tolist(), end[hit].tolist(), total[slot[hit]].tolist()):
                     rows.append(row)
+                    totals.append(n)
                     anchor.append(least[a])
                     places.append(a)
                     keys.append(whole[a:b])
@@ -76,41 +80,88 @@ def _whole_windows(window: int, frequent: bool):
                     batch.column(0).take(at),
                     batch.column(1).take(at),
                     pa.array(np.array(anchor, np.uint64).view(np.int64)),
+                    pa.array(totals, pa.int64()),
                     pa.array(places, pa.int32()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                ["_id", "_row", "hash", "at", "keys"],
+                ["_id", "_row", "hash", "total", "at", "keys"],
             )
 
     return run
 
 
-def _later(group: pa.Table) -> pa.Table:
-    """Windows of a shard that are not the first of their words."""
+def _split(doc, text, at, value) -> tuple[np.ndarray, np.ndarray]:
+    """Windows that are not the first of their words, and those that are."""
+    order = np.lexsort((at, text, doc, value))
+    if not len(order):
+        return order, order
+    same = np.append(False, value[order][1:] == value[order][:-1])
+    start = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+    # Rows that repeat a document repeat its places, and are as early as it.
+    late = (doc[order] != doc[start]) | (text[order] != text[start]) | (at[order] != at[start])
+    return np.sort(order[late]), order[~same]
+
+
+def _windows(group: pa.Table) -> tuple[np.ndarray, ...]:
+    """(document, text, place, value) of the windows of a group of runs."""
     keys = group.column("keys").combine_chunks()
     sizes = np.diff(keys.offsets.to_numpy())
     row = np.repeat(np.arange(len(sizes)), sizes)
     step = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    values = keys.flatten().to_numpy(zero_copy_only=False)
-    doc, text = (group.column(c).to_numpy()[row] for c in ("_id", "_row"))
-    at = group.column("at").to_numpy()[row] + step
-    order = np.lexsort((at, text, doc, values))
-    value, place = values[order], np.stack([doc[order], text[order], at[order]])
-    first = np.append(True, value[1:] != value[:-1])
-    least = place[:, np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))] if len(first) else place
-    # Rows that repeat a document repeat its places.
-    late = order[(place != least).any(axis=0)]
-    late = late[np.argsort(late, kind="stable")]
-    count = np.bincount(row[late], minlength=len(sizes))
-    some = np.flatnonzero(count)
-    lists = np.split(at[late].astype(np.int32), np.cumsum(count[some])[:-1]) if len(some) else []
-    return pa.table(
-        {
-            "_id": group.column("_id").take(pa.array(some)),
-            "_row": group.column("_row").take(pa.array(some)),
-            "at": pa.array(lists, pa.list_(pa.int32())),
-        }
-    )
+    doc, text, at = (group.column(c).to_numpy()[row] for c in ("_id", "_row", "at"))
+    return doc, text, at + step, keys.flatten().to_numpy(zero_copy_only=False)
+
+
+def _lists(doc: np.ndarray, text: np.ndarray, at: np.ndarray) -> dict[str, pa.Array]:
+    """Places by document."""
+    order = np.lexsort((at, text, doc))
+    doc, text, at = doc[order], text[order], at[order]
+    new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]))) if len(doc) else order
+    offsets = pa.array(np.append(new, len(doc)), pa.int32())
+    return {
+        "_id": pa.array(doc[new]),
+        "_row": pa.array(text[new]),
+        "at": pa.ListArray.from_arrays(offsets, pa.array(at.astype(np.int32))),
+    }
+
+
+def _later(group: pa.Table) -> pa.Table:
+    doc, text, at, value = _windows(group)
+    late, _ = _split(doc, text, at, value)
+    return pa.table(_lists(doc[late], text[late], at[late]))
+
+
+FIELDS = ("_ids", "_rows", "_ats", "_values")
+
+
+def _later_here(n_shards: int):
+    """As ``_later`` within one part of a frequent half window. The part's own first ones
+    are handed on, packed by shard of their words, to be compared with those of others."""
+
+    def run(group: pa.Table) -> pa.Table:
+        doc, text, at, value = columns = _windows(group)
+        late, first = _split(*columns)
+        lists = _lists(doc[late], text[late], at[late])
+        shard = (value[first].view(np.uint64) % np.uint64(n_shards)).astype(np.int64)
+        first, shard = first[np.argsort(shard, kind="stable")], np.sort(shard)
+        new = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+        offsets = pa.array(np.append(new, len(shard)), pa.int32())
+        n, m = len(lists["_id"]), len(new)
+        none = [None] * m
+        out = {k: pa.concat_arrays([v, pa.array(none, v.type)]) for k, v in lists.items()}
+        out["shard"] = pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(shard[new])])
+        for name, column in zip(FIELDS, columns):
+            packed = pa.ListArray.from_arrays(offsets, pa.array(column[first].astype(np.int64)))
+            out[name] = pa.concat_arrays([pa.nulls(n, packed.type), packed])
+        return pa.table(out)
+
+    return run
+
+
+def _later_of_firsts(group: pa.Table) -> pa.Table:
+    columns = [group.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False) for name in FIELDS]
+    late, _ = _split(*columns)
+    return pa.table(_lists(*(c[late] for c in columns[:3])))
 
 
 def _remove(window: int):
@@ -163,8 +214,9 @@ def remove_repeats(
 
     Texts are shuffled once, by id, and read from that shuffle again. Whole windows are dealt
     to shards by their half window. Windows around one that occurs over ``SHARD_RUNS`` times
-    are not: their first occurrences are added up within tasks before they are shuffled, and
-    their rows are spread by a join that can be split.
+    are first dealt to parts of about that many by document; only the first ones of a part go
+    on to a shard for their words, so a window of a third of all documents arrives there
+    once for each part.
 
     Null or empty text has no words. Null doc_id counts as the smallest. Rows equal in id and
     text are one document, of which each row gets the result; where rows of one id differ,
@@ -176,21 +228,22 @@ def remove_repeats(
     n_shards = max(1, -(-int(total) // SHARD_BYTES))
     hits = repeats.repeated_anchors(base, _half_anchors(window))
     source = repeats.joined(base, hits, "inner").select("_id", "_row", "_text", "hits")
-    kind = "_id bigint, _row bigint, hash bigint, at int, keys array<bigint>"
+    kind = "_id bigint, _row bigint, hash bigint, total bigint, at int, keys array<bigint>"
+    place = "_id bigint, _row bigint, at array<int>"
 
     rare = mapped(source, _whole_windows(window, frequent=False), kind)
     dealt = rare.withColumn("task", F.pmod(F.xxhash64("hash"), F.lit(n_shards)))
-    later = dealt.groupBy("task").applyInArrow(_later, "_id bigint, _row bigint, at array<int>")
+    later = dealt.groupBy("task").applyInArrow(_later, place)
 
     common = mapped(source, _whole_windows(window, frequent=True), kind)
-    rows = common.select("_id", "_row", "at", F.posexplode("keys").alias("step", "key")).select(
-        "key", "_id", "_row", (F.col("at") + F.col("step")).alias("at")
+    part = F.pmod(F.xxhash64("_id", "_row"), F.ceil(F.col("total") / SHARD_RUNS))
+    packed = ", ".join(f"{name} array<bigint>" for name in FIELDS)
+    here = common.withColumn("part", part).groupBy("hash", "part").applyInArrow(
+        _later_here(n_shards), f"{place}, shard bigint, {packed}"
     )
-    place = F.struct("_id", "_row", "at")
-    first = rows.groupBy("key").agg(F.min(place).alias("least"), F.max(place).alias("most"))
-    first = first.filter(F.col("least") != F.col("most")).select("key", "least")
-    often = rows.join(first, "key").filter(place != F.col("least"))
-    lists = repeats.gather(later.unionByName(often.select("_id", "_row", F.array("at").alias("at"))), F.col("at"))
+    among = here.filter(F.col("shard").isNotNull()).groupBy("shard").applyInArrow(_later_of_firsts, place)
+    often = here.filter(F.col("shard").isNull()).select("_id", "_row", "at").unionByName(among)
+    lists = repeats.gather(later.unionByName(often), F.col("at"))
     final = repeats.joined(base, lists, "left").select(repeats.doc_id(), "_text", "found")
     kind = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, removed array<struct<first:int,end:int>>"
     return mapped(final, _remove(window), kind)
