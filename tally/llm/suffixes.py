@@ -126,39 +126,44 @@ def _pieces(length: int, frequent: bool, with_bytes: bool = True):
 def suffix_array(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """All suffixes of the pieces in ``data`` in order; each ends where its piece ends.
 
-    Suffixes are sorted by their first 8 bytes, then groups that are still equal are refined
-    by the rank of what follows, to 16, 32, ... bytes (Larsson and Sadakane). Suffixes equal
+    Suffixes are sorted by their first 7 bytes, then groups that are still equal are refined
+    by the rank of what follows, to 14, 28, ... bytes (Larsson and Sadakane). Suffixes equal
     to their ends stay in the order of their places.
     """
     n = len(data)
     left = ends - np.arange(n)
-    padded = np.append(data, np.zeros(8, np.uint8)).astype(np.uint64)
+    padded = np.append(data, np.zeros(7, np.uint8)).astype(np.uint64)
     key = np.zeros(n, np.uint64)
-    for k in range(8):
+    for k in range(7):
         key = (key << np.uint64(8)) | np.where(left > k, padded[k : k + n], np.uint64(0))
-    order = np.lexsort((np.minimum(left, 8), key))
-    same = (key[order][1:] == key[order][:-1]) & (np.minimum(left, 8)[order][1:] == np.minimum(left, 8)[order][:-1])
+    key = (key << np.uint64(8)) | np.minimum(left, 7).astype(np.uint64)
+    order = np.argsort(key)
+    key = key[order]
+    same = key[1:] == key[:-1]
     head = np.arange(n)
     head[1:][same] = 0
     head = np.maximum.accumulate(head)
     rank = np.empty(n, np.int64)
     rank[order] = head
-    reach, most = 8, int(left.max(initial=0))
+    reach, most = 7, int(left.max(initial=0))
     active = np.flatnonzero(np.append(same, False) | np.append(False, same))
     while len(active) and reach < most:
         places = order[active]
         after = np.where(left[places] > reach, rank[np.minimum(places + reach, n - 1)] + 1, 0)
-        group = rank[places]
-        inner = np.lexsort((places, after, group))
-        places, after, group = places[inner], after[inner], group[inner]
+        step = rank[places] * (n + 1) + after
+        inner = np.argsort(step)
+        places, step = places[inner], step[inner]
         order[active] = places
-        same = (group[1:] == group[:-1]) & (after[1:] == after[:-1])
+        same = step[1:] == step[:-1]
         head = active.copy()
         head[1:][same] = 0
         head = np.maximum.accumulate(head)
         rank[places] = head
         active = active[np.append(same, False) | np.append(False, same)]
         reach *= 2
+    if len(active):
+        places = order[active]
+        order[active] = places[np.lexsort((places, rank[places]))]
     return order
 
 
