@@ -16,8 +16,12 @@ from tally.llm.storage import cut, mapped
 WORDS = 5
 # Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
-# Shingles to a segment, at the upper end of a size band.
+# Shingles to a segment at the upper end of a size band, in lists at large and in long ones.
+# Sets of fewer than ``SMALL`` shingles have each shingle for a segment: hashed into few
+# segments they could fill too few of them.
 SEGMENT = 3
+FINE_SEGMENT = 1
+SMALL = 128
 # Sets that share a signature and are compared with each other without further ado.
 SHORT_LIST = 32
 
@@ -55,11 +59,20 @@ def _band_salt(band: int) -> np.uint64:
     return np.uint64((band + 1) * int(_BAND_SALT) & ((1 << 64) - 1))
 
 
-def segments(values: np.ndarray, band: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Segments of a sorted set that hold something: (signature, size, first place)."""
+def segment_of(values: np.ndarray, band: int, percent: int, per: int) -> np.ndarray:
+    """The segment of each of the sorted values, in order."""
     top = (2 << band) - 1
-    m = max(top // SEGMENT, most_different(top, percent) + 1)
-    number = ((values >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
+    if top < SMALL:
+        return values
+    m = max(top // per, most_different(top, percent) + 1)
+    return ((values >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
+
+
+def segments(
+    values: np.ndarray, band: int, percent: int = PERCENT, per: int = SEGMENT
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Segments of a sorted set that hold something: (signature, size, first place)."""
+    number = segment_of(values, band, percent, per)
     first = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
     sums = np.add.reduceat(w.mix(values), first)
     salt = number[first] * _SEGMENT_SALT + _band_salt(band)
@@ -117,21 +130,22 @@ def _neighbours(length: int, percent: int):
             out: list[list[np.ndarray]] = [[] for _ in range(5)]
             for row, values in shingle_sets(batch.column(1), length):
                 for band in bands(len(values), percent) if len(values) else ():
-                    whole, size, first = segments(values, band, percent)
+                    whole, size, first = segments(values, band, percent, FINE_SEGMENT)
                     number = np.repeat(np.arange(len(whole)), size)
-                    # A segment's sum without one member, under the same salt.
+                    # A segment's sum without one member, under the same salt. What is left
+                    # of a single member is an empty segment, which is not indexed.
                     mixed = w.mix(values)
-                    top = (2 << band) - 1
-                    m = max(top // SEGMENT, most_different(top, percent) + 1)
-                    place = ((values >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
+                    place = segment_of(values, band, percent, FINE_SEGMENT)
                     salt = place * _SEGMENT_SALT + _band_salt(band)
                     less = w.mix(np.add.reduceat(mixed, first)[number] - mixed + salt)
+                    some = size[number] > 1
+                    less, number = less[some], place[some]
                     for column, value in zip(
                         out,
                         (
                             np.full(len(whole) + len(less), row),
                             np.full(len(whole) + len(less), band),
-                            np.append(place[first], place).astype(np.int64),
+                            _signed(np.append(place[first], number)),
                             np.append(np.zeros(len(whole), bool), np.ones(len(less), bool)),
                             _signed(np.append(whole, less)),
                         ),
@@ -157,6 +171,8 @@ def _choose(percent: int):
         names, at = np.unique(segment, return_inverse=True)
         one = np.bincount(at, np.where(less, 0, cost), len(names))
         two = np.bincount(at, np.where(less, cost, 0), len(names))
+        # A single member has no neighbourhood to look up.
+        two[np.bincount(at, less, len(names)) == 0] = np.inf
         # Each segment can first be looked up whole, then with its neighbourhood as well.
         steps = np.concatenate([one, np.maximum(two, one)])
         order = np.argsort(steps, kind="stable")[:need]
@@ -242,10 +258,16 @@ def similar_sets(
     def near(a, b):
         return (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
-    lead = members.groupBy("signature").agg(F.min(F.struct("set", "n")).alias("lead"))
+    # The set that lies in most lists leads them: what many sets are copies of, with changes
+    # of their own, shares more of its segments than any of them.
+    degree = members.groupBy("set").agg(F.count("*").alias("_degree"))
+    lead = members.join(degree, "set").groupBy("signature").agg(F.max(F.struct("_degree", "set", "n")).alias("lead"))
+    lead = cut(lead)
     led = members.join(lead, "signature").filter(F.col("set") != F.col("lead.set"))
     links = verified(
-        led.filter(near(F.col("n"), F.col("lead.n"))).select(F.col("lead.set").alias("one"), F.col("set").alias("other"))
+        led.filter(near(F.col("n"), F.col("lead.n"))).select(
+            F.least("lead.set", "set").alias("one"), F.greatest("lead.set", "set").alias("other")
+        )
     )
     found = components(links, "one", "other")
 
@@ -253,9 +275,11 @@ def similar_sets(
         "component", F.coalesce("component", "set")
     )
     state = placed.groupBy("signature").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high"), F.min("set").alias("_lead"), F.count("*").alias("_size")
+        F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_size")
     )
-    open_lists = state.filter(F.col("_low") != F.col("_high")).select("signature", "_lead", "_size")
+    open_lists = state.filter(F.col("_low") != F.col("_high")).join(
+        lead.select("signature", F.col("lead.set").alias("_lead")), "signature"
+    ).select("signature", "_lead", "_size")
     unsettled = cut(placed.join(open_lists, "signature"))
     short = unsettled.filter((F.col("_size") <= SHORT_LIST) & (F.col("set") != F.col("_lead")))
     a, b = short.alias("a"), short.alias("b")
