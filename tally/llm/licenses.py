@@ -25,16 +25,13 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
 def let(value: Column, body) -> Column:
     """``body`` of a value that is computed once, however often ``body`` reads it."""
     return F.transform(F.array(value), body)[0]
 
 
 def words(text: Column) -> Column:
-    folded = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
+    folded = F.lower(F.coalesce(text, F.lit("")))
     return F.filter(F.split(folded, "[^a-z0-9\\x{80}-\\x{10FFFF}]+"), lambda w: w != "")
 
 
@@ -126,7 +123,9 @@ def scan_licenses(
         "license string, width int, band int, value bigint, template array<string>",
     )
 
-    tokens = docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("tokens"))
+    # Texts without any such word, even within another, need not be cut into words.
+    holds = F.col(text_col).rlike("(?iu)" + "|".join(telling))
+    tokens = docs.filter(holds).select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("tokens"))
     likely = tokens.filter(F.arrays_overlap("tokens", F.array(*map(F.lit, telling))))
     starts = F.explode(F.flatten(F.array(*(window_starts(F.col("tokens"), width) for width in widths))))
     # The words of a window are cut out before they are spread over rows.
