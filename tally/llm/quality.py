@@ -145,6 +145,8 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> Lab
 
     It starts from the belief that a text with any complaint is poor.
     """
+    if not len(patterns):
+        return LabelModel(0.5, np.full((2, patterns.shape[1], 3), 1 / 3))
     good = np.where((patterns < 0).any(axis=1), 0.1, 0.9)
     for _ in range(rounds):
         weights = np.stack([(1 - good) * counts, good * counts])

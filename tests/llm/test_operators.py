@@ -1,0 +1,329 @@
+"""Every operator on awkward rows, and against plain Python or SQL."""
+
+import collections
+import hashlib
+import random
+import re
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tally.llm import (
+    bpe,
+    components,
+    decontaminate,
+    exact,
+    licenses,
+    ngrams,
+    quality,
+    queries,
+    substrings,
+    suffixes,
+    toxicity,
+    urls,
+)
+
+SF = "/root/testdata/sf0.001"
+rnd = random.Random(7)
+LONG = " ".join(rnd.choice("abcdefgh") * rnd.randint(1, 6) for _ in range(30000))
+PASSAGE = " ".join(f"word{i}" for i in range(60))
+
+# (doc_id, text): nulls, empty, blanks, ties, repeated rows, one id with two texts, very long.
+AWKWARD = [
+    (None, None), (None, "no id but words here"), (1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "one"),
+    (6, "Two words"), (6, "Two words"), (7, "first text of seven"), (7, "second text of seven"),
+    (8, LONG), (9, LONG), (10, PASSAGE), (11, "before " + PASSAGE + " after"), (12, PASSAGE + " " + PASSAGE),
+    (13, "x\x00y ünïcode ÀÉ <|endoftext|> 日本"), (14, "la " * 100),
+]
+SCHEMA = "doc_id bigint, text string, keep_id string, n_words string, _id string, found string, signature string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "x", None, "y", "z", "s") for i, t in AWKWARD]
+    return spark.createDataFrame(rows, SCHEMA).cache()
+
+
+@pytest.fixture(scope="module")
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def benchmark(spark, rows=((1, PASSAGE), (2, "short one"), (3, None), (None, "x y"))):
+    return spark.createDataFrame(list(rows), "item_id bigint, text string")
+
+
+def labels(spark, rows=((4, 0, 1), (6, 1, 0), (6, 1, 1), (None, 1, 1), (8, None, None))):
+    return spark.createDataFrame(list(rows), "doc_id bigint, quality int, toxic int")
+
+
+def test_empty_tables(spark, nothing):
+    pages = spark.createDataFrame([], "page_id bigint, url string, html string")
+    assert exact.exact_groups(nothing).count() == 0
+    assert exact.drop_exact(nothing).columns == nothing.columns
+    assert ngrams.similar_sets(nothing).count() == 0
+    assert ngrams.keep_one(nothing).count() == 0
+    assert substrings.remove_repeats(nothing).count() == 0
+    assert suffixes.remove_repeated_bytes(nothing).count() == 0
+    assert quality.keep_good(nothing).count() == 0
+    assert toxicity.score_toxicity(nothing, labels(spark, [(1, 1, 1)]).limit(0)).count() == 0
+    assert decontaminate.find_matches(nothing, benchmark(spark).limit(0)).count() == 0
+    assert decontaminate.decontaminate(nothing, benchmark(spark)).count() == 0
+    assert licenses.scan_licenses(nothing).count() == 0
+    assert bpe.round_trip(nothing).count() == 0
+    assert urls.judge_urls(pages).count() == 0
+
+
+def test_exact(docs):
+    groups = collections.defaultdict(list)
+    for i, t in AWKWARD:
+        groups[t or ""].append(i)
+    found = exact.exact_groups(docs).collect()
+    assert len(found) == len(AWKWARD)
+    want = sorted(
+        (str(i), str(max((x for x in g if x is not None), default=None)), len(g), hashlib.sha256(t.encode()).hexdigest())
+        for t, g in groups.items() for i in g
+    )
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.text_sha256) for r in found) == want
+    assert sum(r.kept for r in found) == len(groups)
+    left = exact.drop_exact(docs)
+    assert left.columns == docs.columns
+    assert collections.Counter((r.text or "") for r in left.collect()) == {t: 1 for t in groups}
+
+
+def shingle_set(text):
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(found[i : i + 5]) for i in range(max(len(found) - 4, 1))} if found else set()
+
+
+def near_copies():
+    """A text with many changed copies, texts that share a passage only, and small texts."""
+    r = random.Random(3)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    base, shared = [word() for _ in range(300)], [word() for _ in range(150)]
+    out = [" ".join(base)]
+    for k in range(40):
+        copy = list(base)
+        for at in r.sample(range(300), 1 + k % 7):
+            copy[at] = word()
+        out.append(" ".join(copy))
+    out += [" ".join([word() for _ in range(r.randint(20, 150))] + shared) for _ in range(50)]
+    small = [word() for _ in range(30)]
+    out += [" ".join(small[: r.randint(1, 30)]) for _ in range(60)]
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("short_list", [2, 32])
+def test_ngram_join(spark, docs, monkeypatch, short_list):
+    monkeypatch.setattr(ngrams, "SHORT_LIST", short_list)
+    rows = near_copies()
+    sets = {i: shingle_set(t) for i, t in rows}
+    least = {i: i for i in sets}
+    for _ in range(len(sets)):
+        before = dict(least)
+        for a in sets:
+            for b in sets:
+                both = len(sets[a] & sets[b])
+                if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                    least[a] = least[b] = min(least[a], least[b])
+        if before == least:
+            break
+    found = ngrams.similar_sets(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == {i: (len(s), least[i]) for i, s in sets.items()}
+
+
+def test_ngram_join_awkward(docs):
+    found = {r.doc_id: r for r in ngrams.similar_sets(docs).collect() if r.doc_id is not None}
+    assert found.keys() == {i for i, _ in AWKWARD if i is not None}
+    assert (found[4].component_id, found[5].component_id, found[9].component_id) == (4, 4, 8)
+    assert found[3].component_id == 3 and found[3].n_shingles == 0
+    left = ngrams.keep_one(docs)
+    assert left.columns == docs.columns and left.filter("doc_id in (5, 9)").count() == 0
+
+
+def words_kept(rows, window=20):
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        found = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        gone = set()
+        for p in range(len(found) - window + 1):
+            key = tuple(found[p : p + window])
+            if key in seen:
+                gone |= set(range(p, p + window))
+            seen.add(key)
+        kept = " ".join(x for q, x in enumerate(found) if q not in gone)
+        out[i] = (len(found), len(gone), hashlib.sha256(kept.encode()).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("often", [1, 4096])
+def test_substrings(spark, docs, monkeypatch, often):
+    monkeypatch.setattr(substrings, "SHARD_RUNS", often)
+    rows = [(i, t) for i, t in AWKWARD if i is not None and i not in (6, 7)]
+    found = substrings.remove_repeats(docs).collect()
+    assert len(found) == len(AWKWARD)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in found}
+    assert {i: got[i] for i, _ in rows} == words_kept(rows)
+
+
+def bytes_kept(rows, length=200):
+    count = collections.Counter()
+    raw = {i: (t or "").encode() for i, t in rows}
+    for b in raw.values():
+        count.update(b[p : p + length] for p in range(len(b) - length + 1))
+    out = {}
+    for i, b in raw.items():
+        mark = bytearray(len(b))
+        for p in range(len(b) - length + 1):
+            if count[b[p : p + length]] > 1:
+                mark[p : p + length] = b"\1" * length
+        spans = len(re.findall(b"\1+", bytes(mark)))
+        kept = bytes(x for x, m in zip(b, mark) if not m)
+        out[i] = (len(b), sum(mark), spans, hashlib.sha256(kept).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("pieces", [2, 4096])
+def test_suffixes(spark, docs, monkeypatch, pieces):
+    monkeypatch.setattr(suffixes, "SHARD_PIECES", pieces)
+    rows = [(i, t) for i, t in AWKWARD if i is not None and i not in (6, 7, 8, 9)]
+    some = docs.filter("doc_id is not null and doc_id not in (6, 7, 8, 9)")
+    found = suffixes.remove_repeated_bytes(some).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == bytes_kept(rows)
+    assert suffixes.remove_repeated_bytes(docs).count() == len(AWKWARD)
+
+
+def test_suffix_array():
+    data = np.frombuffer(b"bananabandana" + b"banana\x00\x00" + b"aaaaaaaaaaaaaaaaaaaa", np.uint8)
+    ends = np.repeat([13, 21, 41], [13, 8, 20])
+    order = suffixes.suffix_array(data, ends)
+    raw = data.tobytes()
+    assert [raw[i : ends[i]] for i in order] == sorted(raw[i : ends[i]] for i in range(41))
+    prefix = suffixes.common_prefixes(data, np.array([0, 13, 21]), np.array([13, 21, 41]), order)
+    for a, b in zip(order, order[1:]):
+        x, y = raw[a : ends[a]], raw[b : ends[b]]
+        assert prefix[b] == next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+
+
+def test_quality(spark, docs):
+    held = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    marks = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    good = quality.score_quality(held).join(marks, "doc_id").select((F.col("kept") == (F.col("quality") == 1)).cast("int").alias("ok"))
+    assert good.agg(F.avg("ok")).first()[0] > 0.95
+    assert quality.score_quality(docs).count() == len(AWKWARD)
+    assert quality.keep_good(docs).columns == docs.columns
+
+
+def test_toxicity(spark, docs):
+    held = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    marks = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    index = toxicity.build_index(held, marks)
+    found = toxicity.score_toxicity(held, index=index).filter("held_out").join(marks, "doc_id").toPandas()
+    rank, toxic = found.score.rank(), found.toxic == 1
+    auc = (rank[toxic].sum() - toxic.sum() * (toxic.sum() + 1) / 2) / (toxic.sum() * (~toxic).sum())
+    assert auc > 0.9
+    # The block-max search finds what a full scan finds.
+    full = np.zeros((len(index.ids), len(index.terms)))
+    size = np.diff(index.first)
+    term = np.repeat(np.arange(len(size)) % len(index.terms), size)
+    full[index.postings, term] = index.weights
+    for k in range(0, len(index.ids), 37):
+        terms = np.flatnonzero(full[k])
+        near, cosines = index.nearest(terms, full[k, terms], 15)
+        assert np.allclose(cosines, np.sort(full @ full[k])[::-1][: len(cosines)])
+    out = toxicity.score_toxicity(docs, labels(spark)).collect()
+    assert len(out) == len(AWKWARD) and all(0 <= r.score <= 1 for r in out)
+
+
+def test_licenses(spark):
+    body = licenses.TEMPLATES["MIT-notice"]
+    rows = [(1, f"aa bb {body} cc"), (2, "x " * 500 + "Released under the MIT License."), (3, None), (3, ""), (None, body), (4, "free of charge")]
+    rows.append((5, LONG + " licensed under the apache license version 2 0"))
+    found = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(found) == len(rows)
+    got = {r.doc_id: r.licenses for r in found}
+    assert got == {1: ["MIT-notice"], 2: ["MIT"], 3: [], 4: [], 5: ["Apache-2.0"], None: []}
+
+
+def test_decontaminate(spark, docs):
+    for size in (1 << 20, 8):
+        found = decontaminate.judged(decontaminate.find_matches(docs, benchmark(spark), block_bytes=size)).collect()
+        got = {r.doc_id: (r.n_words, r.n_hit, list(r["items"]), r.contaminated) for r in found}
+        assert got[10] == (60, 60, ["1"], True) and got[11] == (62, 60, ["1"], True)
+        assert got[1] == (0, 0, [], False) and got[4] == (1, 0, [], False)
+        left = decontaminate.decontaminate(docs, benchmark(spark), block_bytes=size)
+        assert left.columns == docs.columns
+        assert {r.doc_id for r in left.collect()} == {i for i, _ in AWKWARD} - {10, 11, 12}
+
+
+def test_bpe(spark, docs):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(bpe._vocabulary(None))
+    encoder = bpe.load(bpe._vocabulary(None))
+    r = random.Random(5)
+    texts = [t or "" for _, t in AWKWARD] + ["ΟΔΟΣ", "İ", "it's", "\x85\x1c", "é", "a" * 3000]
+    texts += ["".join(chr(r.choice([r.randrange(32, 127), r.randrange(1, 0x3000)])) for _ in range(40)) for _ in range(300)]
+    for text in texts:
+        ids = library.encode(text, add_special_tokens=False).ids
+        mine = encoder.encode(text)
+        assert np.frombuffer(mine, "<u4").tolist() == ids
+        assert encoder.decode(mine) == library.decode(ids, skip_special_tokens=False)
+    assert bpe.round_trip(docs).count() == len(AWKWARD)
+    assert bpe.decode(bpe.encode(docs)).count() == len(AWKWARD)
+
+
+def test_urls(spark):
+    link = '<link href="https://a.example.org/es/1" rel="canonical">'
+    rows = [
+        (1, "http://A.Example.ORG/es/1?x=1", None), (2, "https://other.net/p", link), (3, "http://www.other.net/p#top", ""),
+        (4, None, link), (5, "no scheme", None), (6, "http://x.com/de/9", None), (7, "http://x.com/fr", None), (7, "http://x.com/fr", None),
+        (8, "http://www.q.net/a?utm_source=b", '<meta http-equiv="refresh" content="0; url=http://x.com/de/9">'),
+    ]
+    found = urls.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in found}
+    assert len(found) == len(rows)
+    assert got[1] == ("a.example.org", "/es/1", "example.org/es/", "block")
+    assert got[2] == ("other.net", "/p", None, "block") and got[3][3] == "block"
+    assert got[4] == ("", "", None, "allow") and got[5] == ("", "", None, "allow")
+    assert got[6][2:] == ("com/de/", "block") and got[8][2:] == (None, "block")
+    assert got[7][2:] == (None, "allow")
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(50)] + [(100, 101), (101, 101), (None, 3)] + [(200, 200 + i) for i in range(1, 60)]
+    found = components.components(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect()
+    want = {i: 0 for i in range(51)} | {100: 100, 101: 100} | {200 + i: 200 for i in range(60)}
+    assert {r.node: r.component for r in found} == want and len(found) == len(want)
+
+
+WITH_SQL = [name for name, (_, sql) in queries.QUERIES.items() if sql]
+
+
+@pytest.mark.parametrize("name", WITH_SQL)
+def test_matches_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    query, sql = queries.QUERIES[name]
+    found = query(spark, SF)
+    cursor = con.execute(sql)
+    columns = [c[0] for c in cursor.description]
+    assert sorted(columns) == sorted(found.columns)
+    assert sorted(map(repr, map(tuple, found.select(columns).collect()))) == sorted(map(repr, cursor.fetchall()))
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, out, SF)
+        assert kept.columns == docs.columns, name
+        out = kept.cache()
+    ids = {r.doc_id for r in out.select("doc_id").collect()}
+    assert {r.doc_id for r in corpus_pipeline.run(spark, SF).collect()} == ids
+    texts = [r.text for r in out.collect()]
+    assert len(set(texts)) == len(texts)
