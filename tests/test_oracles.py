@@ -6,11 +6,12 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as driver
+from tally.plans import batch_queries, stream_queries
 
 TESTDATA = Path("/root/testdata")
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+REGISTERED = {**batch_queries.QUERIES, **stream_queries.QUERIES}
+QUERIES = {name: query for name, (query, _) in REGISTERED.items()}
+ORACLES = {name: sql for name, (_, sql) in REGISTERED.items()}
 
 
 @pytest.fixture(scope="module")
