@@ -55,10 +55,13 @@ def decode_checked(log: DataFrame, schema: str, keep: Sequence[str] = ()) -> Dat
     ``corrupt`` flag.
 
     The decoded struct is not null even for text that is no JSON object, so the parser's
-    own record of rejected text decides, together with absent and empty payloads.
+    own record of rejected text decides, together with absent and empty payloads. Its column
+    is named here, whatever the session calls it.
     """
     text = F.col("value").cast("string")
-    data = F.from_json(text, f"{schema}, {CORRUPT} string")
+    data = F.from_json(
+        text, f"{schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}
+    )
     return (
         log.select(text.alias("raw"), F.inline(F.array(data)), *map(quoted, keep))
         .withColumn("corrupt", F.col(CORRUPT).isNotNull() | (F.coalesce("raw", F.lit("")) == ""))
