@@ -60,7 +60,7 @@ class WordBpe:
             whole = [byte_of[c] for c in token.removesuffix(END) if c in byte_of]
             self.inner[whole[:-1], whole[1:]] = True
         self.letter = [vocab[c] for c in letters]
-        self.last = [vocab[c + END] for c in letters]
+        self.shown = dict(enumerate(letters))
         self.word = regex.compile(WORD)
         self.memo: dict[str, bytes] = {}
         self.parts: dict[tuple[bytes, bool], list[int]] = {}
@@ -68,7 +68,7 @@ class WordBpe:
 
     @property
     def library(self):
-        """The library's own normalizer and word splitter, for text that is not plain."""
+        """The library: merges of last fragments, and words of text that is not plain."""
         if self._library is None:
             from tokenizers import Tokenizer
 
@@ -88,9 +88,10 @@ class WordBpe:
         key = (fragment, ends)
         if (known := self.parts.get(key)) is not None:
             return known
-        ids = [self.letter[b] for b in fragment]
         if ends:
-            ids[-1] = self.last[fragment[-1]]
+            # The library merges a fragment that ends a word; it would also end any other.
+            return [t.id for t in self.library.model.tokenize(fragment.decode("latin-1").translate(self.shown))]
+        ids = [self.letter[b] for b in fragment]
         if len(ids) > 4 * MEMO_LENGTH:
             return self._merge_long(ids)
         merges = self.merges
