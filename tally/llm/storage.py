@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 
 from tally.session import scratch
 
+ROWS = 2048
+
 PACKAGE = Path(__file__).resolve().parents[1]
 
 _shipped: dict[str, str] = {}
@@ -50,6 +52,14 @@ def ship(context: SparkContext) -> None:
 
 
 def mapped(frame: DataFrame, function, schema) -> DataFrame:
-    """``frame.mapInArrow`` with this package's code at hand on the executors."""
+    """``frame.mapInArrow`` with this package's code at hand on the executors.
+
+    Batches are handed on in pieces of ``ROWS`` rows, which bounds what a step holds besides
+    its batch.
+    """
+
+    def pieces(batches):
+        return function(b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS))
+
     ship(frame.sparkSession.sparkContext)
-    return frame.mapInArrow(function, schema)
+    return frame.mapInArrow(pieces, schema)

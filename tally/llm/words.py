@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text that are worked on together; a longer text makes a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 BASE = 0x9E3779B97F4A7C15 | 1
 GRAM_BASE = np.uint64(0xD6E8FEB86659FD93)
