@@ -27,6 +27,10 @@ SHORT_LIST = 32
 
 _SEGMENT_SALT = np.uint64(0xA0761D6478BD642F)
 _BAND_SALT = np.uint64(0xE7037ED1A0B428DB)
+_MEMBER_SALT = np.uint64(0x8EBC6AF09C88C6E3)
+
+# What a signature of the index stands for: a segment, a segment less one, a member.
+WHOLE, LESS, MEMBER = range(3)
 
 
 def shingle_sets(column: pa.Array, length: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -122,8 +126,14 @@ def _describe(length: int, percent: int):
     return run
 
 
+def most_lacking(size: int, percent: int = PERCENT) -> int:
+    """How many shingles of a set of ``size`` a linked set that is not smaller can lack."""
+    return size - -(-2 * percent * size // (100 + percent))
+
+
 def _neighbours(length: int, percent: int):
-    """All segments of a set and all of its one-deletion neighbourhoods."""
+    """All segments of a set, all of their one-deletion neighbourhoods, and their subsets of
+    one member."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,47 +149,60 @@ def _neighbours(length: int, percent: int):
                     salt = place * _SEGMENT_SALT + _band_salt(band)
                     less = w.mix(np.add.reduceat(mixed, first)[number] - mixed + salt)
                     some = size[number] > 1
-                    less, number = less[some], place[some]
-                    for column, value in zip(
-                        out,
-                        (
-                            np.full(len(whole) + len(less), row),
-                            np.full(len(whole) + len(less), band),
-                            _signed(np.append(place[first], number)),
-                            np.append(np.zeros(len(whole), bool), np.ones(len(less), bool)),
-                            _signed(np.append(whole, less)),
-                        ),
-                    ):
-                        column.append(value)
-            flat = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in out]
+                    kinds = (
+                        (WHOLE, place[first], whole),
+                        (LESS, place[some], less[some]),
+                        (MEMBER, place, w.mix(mixed + _MEMBER_SALT + _band_salt(band))),
+                    )
+                    for kind, segment, signature in kinds:
+                        n = len(signature)
+                        for column, value in zip(
+                            out,
+                            (np.full(n, row), np.full(n, band), _signed(segment), np.full(n, kind), _signed(signature)),
+                        ):
+                            column.append(value)
+            flat = [np.concatenate(c).astype(np.int64) if c else np.zeros(0, np.int64) for c in out]
             yield pa.record_batch(
-                [batch.column(0).take(pa.array(flat[0].astype(np.int64))), pa.array(flat[1].astype(np.int32)), pa.array(flat[2].astype(np.int64)), pa.array(flat[3].astype(bool)), pa.array(flat[4].astype(np.int64))],
-                ["set", "band", "segment", "less", "signature"],
+                [batch.column(0).take(pa.array(flat[0])), pa.array(flat[1].astype(np.int32)), pa.array(flat[2]), pa.array(flat[3].astype(np.int32)), pa.array(flat[4])],
+                ["set", "band", "segment", "kind", "signature"],
             )
 
     return run
 
 
 def _choose(percent: int):
-    """Cost-based allocation of one set in one band: which of its signatures it looks up."""
+    """Cost-based allocation of one set in one band: which of its signatures it looks up
+    (``asks``), whether with the neighbourhood (``deep``), and what that costs (``price``)."""
 
     def run(group: pa.Table) -> pa.Table:
         segment = group.column("segment").to_numpy()
-        less = group.column("less").to_numpy(zero_copy_only=False)
+        kind = group.column("kind").to_numpy()
         cost = group.column("cost").to_numpy()
-        need = most_different(int(group.column("n")[0].as_py()), percent) + 1
+        n = int(group.column("n")[0].as_py())
+        need = most_different(n, percent) + 1
         names, at = np.unique(segment, return_inverse=True)
-        one = np.bincount(at, np.where(less, 0, cost), len(names))
-        two = np.bincount(at, np.where(less, cost, 0), len(names))
+        one = np.bincount(at, np.where(kind == WHOLE, cost, 0), len(names))
+        two = np.bincount(at, np.where(kind == LESS, cost, 0), len(names))
         # A single member has no neighbourhood to look up.
-        two[np.bincount(at, less, len(names)) == 0] = np.inf
+        two[np.bincount(at, kind == LESS, len(names)) == 0] = np.inf
         # Each segment can first be looked up whole, then with its neighbourhood as well.
         steps = np.concatenate([one, np.maximum(two, one)])
         order = np.argsort(steps, kind="stable")[:need]
         level = np.bincount(order % len(names), minlength=len(names))
-        keep = np.where(less, level[at] == 2, level[at] >= 1)
-        return group.filter(pa.array(keep)).select(["set", "band", "segment", "less", "signature"]).append_column(
-            "deep", pa.array(level[at][keep] == 2)
+        # Or single members: all but ``most_lacking`` of them are in the partner.
+        members = np.flatnonzero(kind == MEMBER)
+        members = members[np.argsort(cost[members], kind="stable")[: most_lacking(n, percent) + 1]]
+        by_segment, by_member = float(steps[order].sum()), float(cost[members].sum())
+        if by_member <= by_segment:
+            asks = np.zeros(len(kind), bool)
+            asks[members] = True
+        else:
+            asks = ((kind == WHOLE) & (level[at] >= 1)) | ((kind == LESS) & (level[at] == 2))
+        return (
+            group.select(["set", "n", "component", "band", "kind", "signature"])
+            .append_column("asks", pa.array(asks))
+            .append_column("deep", pa.array(level[at] == 2))
+            .append_column("price", pa.array(np.full(len(kind), min(by_segment, by_member))))
         )
 
     return run
@@ -221,10 +244,10 @@ def similar_sets(
     that linked sets must agree in one of those kept (``allocate``). Sets in one list are
     first compared with one of them only; lists that are then within one component are done,
     which keeps large groups of near copies linear. Short lists left are compared in full.
-    In a long list left, which many unlinked sets share, each set weighs what its segments
-    and their one-deletion neighbourhoods would cost, gives up the dear ones and looks up
-    the cheap ones with the neighbourhood (``_choose``). All candidates are checked on the
-    texts.
+    In a long list left, which many unlinked sets share, each set weighs what its segments,
+    their one-deletion neighbourhoods and their subsets of one member would cost, gives up
+    the dear ones and looks up the cheap ones (``_choose``). Of two sets, one looks the other
+    up. All candidates are checked on the texts.
 
     Rows of null doc_id get no link and no component. Rows that repeat a doc_id are one
     document: links of all its texts count, n_shingles is the largest, one row comes back.
@@ -290,23 +313,28 @@ def similar_sets(
     long = unsettled.filter(F.col("_size") > SHORT_LIST).select("set", "n", "component").distinct()
     long = cut(long)
     if not long.isEmpty():
-        index = mapped(texts(long.select("set")), _neighbours(length, percent), "set bigint, band int, segment bigint, less boolean, signature bigint")
+        index = mapped(texts(long.select("set")), _neighbours(length, percent), "set bigint, band int, segment bigint, kind int, signature bigint")
         index = cut(index.join(long, "set"))
-        cost = index.groupBy("signature").agg(
-            F.sum((~F.col("less")).cast("long")).alias("_whole"), F.sum(F.col("less").cast("long")).alias("_less")
-        )
         # Looking a segment up whole meets whole ones; its neighbours meet whole ones, and
-        # with them it also meets the neighbours of others.
+        # with them it also meets the neighbours of others. Members meet members.
+        cost = index.groupBy("signature").agg(F.sum((F.col("kind") != LESS).cast("long")).alias("cost"))
         priced = index.join(cost, "signature").select(
-            "set", "n", "band", "segment", "less", "signature", F.col("_whole").alias("cost")
+            "set", "n", "component", "band", "segment", "kind", "signature", "cost"
         )
-        probes = priced.groupBy("set", "band").applyInArrow(
-            _choose(percent), "set bigint, band int, segment bigint, less boolean, signature bigint, deep boolean"
+        asked = cut(
+            priced.groupBy("set", "band").applyInArrow(
+                _choose(percent),
+                "set bigint, n bigint, component bigint, band int, kind int, signature bigint, asks boolean, deep boolean, price double",
+            )
         )
-        p, q = probes.join(long, "set").alias("p"), index.alias("q")
-        meets = ~F.col("q.less") | (F.col("p.deep") & ~F.col("p.less"))
-        more = p.join(q, F.col("p.signature") == F.col("q.signature")).filter(
-            (F.col("p.component") != F.col("q.component")) & meets & near(F.col("p.n"), F.col("q.n"))
+        # One of two sets looks the other up: the smaller, or of equal ones that with the
+        # lower price. A set that differs much from all others in its lists then meets none.
+        p, q = asked.filter("asks").alias("p"), asked.alias("q")
+        meets = (F.col("q.kind") != LESS) | (F.col("p.deep") & (F.col("p.kind") == WHOLE))
+        turn = F.struct("p.n", "p.price", "p.set") < F.struct("q.n", "q.price", "q.set")
+        on = (F.col("p.signature") == F.col("q.signature")) & (F.col("p.band") == F.col("q.band"))
+        more = p.join(q, on).filter(
+            (F.col("p.component") != F.col("q.component")) & meets & turn & near(F.col("p.n"), F.col("q.n"))
         ).select(F.least("p.set", "q.set").alias("one"), F.greatest("p.set", "q.set").alias("other"))
         pairs = pairs.unionByName(more)
     pairs = cut(pairs.distinct())
