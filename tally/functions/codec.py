@@ -57,14 +57,26 @@ def decode_checked(log: DataFrame, schema: str, keep: Sequence[str] = ()) -> Dat
     The decoded struct is not null even for text that is no JSON object, so the parser's
     own record of rejected text decides, together with absent and empty payloads. Its column
     is named here, whatever the session calls it.
+
+    The parser stops at the end of the first object. ``rest`` is true where the text goes on
+    after it: the record is that first object, and what follows is in ``raw`` only.
     """
     text = F.col("value").cast("string")
     data = F.from_json(
         text, f"{schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT}
     )
+    # As the content of an array, a text of one object makes an array of one.
+    whole = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string, string>>")
+    rest = F.ltrim(text).startswith("{") & (F.coalesce(F.size(whole), F.lit(0)) != 1)
     return (
-        log.select(text.alias("raw"), F.inline(F.array(data)), *map(quoted, keep))
+        log.select(
+            text.alias("raw"),
+            F.inline(F.array(data)),
+            F.coalesce(rest, F.lit(False)).alias("rest"),
+            *map(quoted, keep),
+        )
         .withColumn("corrupt", F.col(CORRUPT).isNotNull() | (F.coalesce("raw", F.lit("")) == ""))
+        .withColumn("rest", F.col("rest") & ~F.col("corrupt"))
         .drop(CORRUPT)
     )
 

@@ -59,11 +59,14 @@ def quarantine(
     """The payloads that cannot be counted, each with the reason why.
 
     ``checked`` comes from ``decode_checked``. Together with ``tracked`` this splits a log
-    in two parts that share no row and miss none.
+    in two parts that miss no row. They share only payloads that go on after a tracked
+    record: the record counts, and the payload is set aside for what follows it.
     """
     reason = (
         F.when(F.col("corrupt"), "undecodable")
+        .when(F.col("rest"), "more than one object")
         .when(quoted(column).isNull(), "no category")
         .otherwise("unknown category")
     )
-    return checked.filter(~wanted(labels, column)).withColumn("reason", reason).drop("corrupt")
+    aside = checked.filter(~wanted(labels, column) | F.col("rest"))
+    return aside.withColumn("reason", reason).drop("corrupt", "rest")

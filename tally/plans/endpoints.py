@@ -38,9 +38,10 @@ class Files:
         )
 
     def outputs(self, spark: SparkSession, topic: str) -> DataFrame:
-        """What ``writer`` has left for a topic, as a stream of payloads."""
+        """What ``writer`` has left for a topic, as a stream of payloads with the batch that
+        each is of."""
         folder = f"{self.path}/topic={topic}"
-        return sources.output_stream(spark, folder, self.ignore_missing)
+        return sources.output_stream(spark, folder, self.ignore_missing, self.max_bytes)
 
     def publish(self, log: DataFrame) -> None:
         sinks.publish(log, self.path)
@@ -66,7 +67,9 @@ class Kafka:
 
     lineage = ("topic", "partition", "offset")
 
-    def stream(self, spark: SparkSession, topics: Sequence[str]) -> DataFrame:
+    def stream(
+        self, spark: SparkSession, topics: Sequence[str], lineage: Sequence[str] = lineage
+    ) -> DataFrame:
         options = sources.kafka_options(
             self.servers,
             topics,
@@ -75,10 +78,12 @@ class Kafka:
             self.max_offsets,
             self.min_partitions,
         )
-        return sources.kafka_stream(spark, options, self.lineage)
+        return sources.kafka_stream(spark, options, lineage)
 
     def outputs(self, spark: SparkSession, topic: str) -> DataFrame:
-        return self.stream(spark, [topic])
+        """What ``writer`` has sent to a topic, with the batch that each message is of."""
+        sent = self.stream(spark, [topic], ["key"])
+        return sent.select("value", F.col("key").cast("string").cast("bigint").alias("batch_id"))
 
     def publish(self, log: DataFrame) -> None:
         sinks.kafka_write(log, sinks.kafka_sink_options(self.servers))

@@ -56,7 +56,7 @@ def start_reports(
     record_key, reject_key = documents.key(source.lineage), rejected.key(source.lineage)
     checked = decode_checked(log, REPORT, keep=record_key or reject_key)
     # The batch is kept while it is written, so it carries no text that no output needs.
-    lean = checked.withColumn("raw", F.when(~wanted(labels), F.col("raw")))
+    lean = checked.withColumn("raw", F.when(~wanted(labels) | F.col("rest"), F.col("raw")))
     outputs = record_outputs(
         documents.writer(record_key),
         out.writer(REPUBLISH_TOPIC),

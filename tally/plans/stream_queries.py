@@ -23,13 +23,15 @@ from tally.plans import inputs
 from tally.plans.endpoints import Documents, Files
 from tally.plans.inputs import TRACKED, TRIGGERS, UNTRACKED
 from tally.plans.posts import SENTIMENTS, start_posts
-from tally.plans.publisher import post_log, publish_reports_stream
+from tally.plans.publisher import publish_reports_stream
 from tally.plans.reports import start_reports, topics_of
 from tally.plans.shares import start_shares
 from tally.plans.windows import STATE_WIDTH
 from tally.schemas import (
     BATCH_SUFFIX,
+    POST_TOPIC,
     REPORT,
+    REPORT_COLUMNS,
     REPORT_ISSUE,
     REPUBLISH_TOPIC,
     TOTALS_TOPIC,
@@ -54,6 +56,9 @@ from tally.streaming import (
     window_snapshot_sink,
 )
 
+# Files of a small log, so that its replay takes several batches.
+FILES = 2 * TRIGGERS
+
 WINDOW_ROW = "window_start timestamp_ntz, window_end timestamp_ntz, issue string, n bigint"
 
 
@@ -67,9 +72,11 @@ def _replay(spark: SparkSession, log: DataFrame, folder: str) -> Files:
 def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delimited files, as they arrive, to the topics of both families."""
     folder = scratch(spark, "publish")
-    inputs.write_delimited(inputs.report_rows(spark, sf_dir), f"{folder}/csv")
+    rows = inputs.report_rows(spark, sf_dir).repartition(FILES, REPORT_COLUMNS["id"])
+    inputs.write_delimited(rows, f"{folder}/csv")
     out = Files(f"{folder}/topics")
-    rows = delimited_stream(spark, f"{folder}/csv")
+    bound = bytes_per_trigger(spark, f"{folder}/csv", TRIGGERS)
+    rows = delimited_stream(spark, f"{folder}/csv", max_bytes=bound)
     finish(publish_reports_stream(rows, out, f"{folder}/checkpoint", TRACKED, once=True))
     topics = topics_of(TRACKED) + topics_of(TRACKED, BATCH_SUFFIX)
     return decode(topic_table(spark, out.path, topics), REPORT, keep=["topic"])
@@ -109,7 +116,8 @@ def stream_polarity_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_batch_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The job of the post stream; its documents, summed as batches depend on file sizes."""
+    """The job of the post stream; its documents, summed as the batches depend on
+    file sizes."""
     folder = _run_posts(spark, sf_dir)
     names = [*SENTIMENTS, "other"]
     schema = ", ".join(f"`{c}` bigint" for c in names)
@@ -119,7 +127,10 @@ def stream_batch_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _run_posts(spark: SparkSession, sf_dir: str) -> str:
     folder = scratch(spark, "posts")
-    source = _replay(spark, post_log(inputs.post_rows(spark, sf_dir)), folder)
+    # Tokens are taken before the join with the labels, so no text is shuffled.
+    posts = inputs.posts(spark, sf_dir).withColumn("topic", F.lit(POST_TOPIC))
+    log = encode(posts, ["id", "sentiment", "hashtag"], ["topic"])
+    source = _replay(spark, log.repartition(FILES, "value"), folder)
     queries = start_posts(
         spark,
         source,
@@ -133,6 +144,7 @@ def _run_posts(spark: SparkSession, sf_dir: str) -> str:
 
 
 def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch writes the windows that it changed; the newest count of each is the result."""
     folder = scratch(spark, "windows")
     source = _replay(spark, inputs.report_log(spark, sf_dir, to="batch"), folder)
     topics = topics_of([*TRACKED, UNTRACKED], BATCH_SUFFIX)
@@ -143,15 +155,16 @@ def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             window_rows(event_windows(timed)),
             f"{folder}/checkpoint",
             to_folder(f"{folder}/table"),
-            mode="complete",
+            mode="update",
             once=True,
             # Here a task may send rows of very many windows, so the width follows the
             # cluster and not the number of categories.
             state_width=spark.sparkContext.defaultParallelism,
         )
     )
-    table = latest_batch(read_batches(spark, f"{folder}/table", WINDOW_ROW))
-    return table.drop("batch_id")
+    table = read_batches(spark, f"{folder}/table", WINDOW_ROW)
+    newest = F.max_by("n", "batch_id").alias("n")
+    return table.groupBy("window_start", "window_end", "issue").agg(newest)
 
 
 def stream_processing_time_window(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +188,7 @@ def stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = batch.snapshot_publish(spark, sf_dir).select(
         F.col("value").cast("binary").alias("value"), F.lit(TOTALS_TOPIC).alias("topic")
     )
-    source = _replay(spark, messages, folder)
+    source = _replay(spark, messages.repartition(FILES, "value"), folder)
     received = batch.decode_snapshots(source.stream(spark, [TOTALS_TOPIC]))
     finish(
         start(
@@ -192,13 +205,18 @@ def stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The job that reads a totals topic; its newest table of sums and shares."""
+    """The job that reads a totals topic; its newest table of sums and shares. The writer
+    repeats its first batch after the job has read it, which changes nothing."""
     folder = scratch(spark, "shares")
     source = Files(f"{folder}/topics")
     messages = batch.snapshot_publish(spark, sf_dir).select("value")
-    source.writer(TOTALS_TOPIC)(messages, 0)
+    part = F.pmod(F.xxhash64("value"), F.lit(2))
+    send = source.writer(TOTALS_TOPIC)
     write = to_folder(f"{folder}/table")
-    finish(start_shares(spark, source, write, folder, labels=TRACKED, once=True))
+    for sent in ([0], [1, 0]):
+        for k in sent:
+            send(messages.filter(part == k), k)
+        finish(start_shares(spark, source, write, folder, labels=TRACKED, once=True))
     table = read_batches(spark, f"{folder}/table", "issue string, n bigint, share double")
     return latest_batch(table).select("issue", "n", "share")
 

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 
 from tally.schemas import LOG
 
-# A fan-out keeps a batch on the executors while it is written: about 4 GB on each of a
-# thousand of them.
-MOST_PER_TRIGGER = 4 << 40
-
 # The characters a topic name may have.
 TOPIC_NAME = re.compile(r"[A-Za-z0-9._-]+")
 
@@ -63,23 +59,27 @@ def topic_table(spark: SparkSession, path: str, topics: Sequence[str]) -> DataFr
     return spark.read.schema(LOG).parquet(path).filter(F.col("topic").isin(*topics))
 
 
-def output_stream(spark: SparkSession, path: str, ignore_missing: bool = False) -> DataFrame:
-    """The ``value`` messages that a keyed batch writer leaves, as a stream."""
+def output_stream(
+    spark: SparkSession, path: str, ignore_missing: bool = False, max_bytes: int | None = None
+) -> DataFrame:
+    """The ``value`` messages that a keyed batch writer leaves, as a stream. A batch that was
+    written again comes again, under the same ``batch_id``."""
     schema = "value string, batch_id bigint"
-    return file_stream(spark, path, schema, ignore_missing=ignore_missing)
+    return file_stream(spark, path, schema, max_bytes=max_bytes, ignore_missing=ignore_missing)
 
 
 def bytes_per_trigger(
-    spark: SparkSession, path: str, triggers: int, most: int = MOST_PER_TRIGGER
+    spark: SparkSession, path: str, triggers: int, most: int | None = None
 ) -> int:
     """Volume per trigger that replays a finite folder in about ``triggers`` batches, or in
-    more if these would be larger than ``most``.
+    more if these would be larger than the ``most`` bytes that the caller allows.
 
     Only file sizes are read: the content column is pruned, and the sum is made by tasks.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     size = files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()["bytes"]
-    return max(1, min(most, -(-size // triggers)))
+    share = -(-size // triggers)
+    return max(1, share if most is None else min(most, share))
 
 
 def read_batches(spark: SparkSession, path: str, schema: str) -> DataFrame:

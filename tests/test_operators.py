@@ -75,14 +75,15 @@ def test_routes(spark):
 
 def test_quarantine_and_tracked_split_the_log(spark):
     payloads = ['{"id":"1","issue":"COLLISION"}', '{"id":"2","issue":"Other"}', '{"id":"3"}', "x", "", None]
+    payloads += ['{"id":"6","issue":"COLLISION"}{"id":"7"}', '{"id":"8","issue":"COLLISION"} on', ' {"id":"9","issue":"COLLISION"} ']
     log = spark.createDataFrame([(p,) for p in payloads], "t string").select(
         F.col("t").cast("binary").alias("value")
     )
     checked = decode_checked(log, REPORT)
     kept = [r.id for r in tracked(checked).collect()]
     reasons = Counter(r.reason for r in quarantine(checked).collect())
-    assert kept == ["1"]
-    assert reasons == {"unknown category": 1, "no category": 1, "undecodable": 3}
+    assert sorted(kept) == ["1", "6", "8", "9"]
+    assert reasons == {"unknown category": 1, "no category": 1, "undecodable": 3, "more than one object": 2}
 
 
 @SPARK_TEST
