@@ -30,9 +30,18 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+# Whatever stands between words.
+GAP = "[^a-z0-9\\x{80}-\\x{10FFFF}]+"
+
+
 def words(text: Column) -> Column:
     folded = F.lower(F.coalesce(text, F.lit("")))
-    return F.filter(F.split(folded, "[^a-z0-9\\x{80}-\\x{10FFFF}]+"), lambda w: w != "")
+    return F.filter(F.split(folded, GAP), lambda w: w != "")
+
+
+def spaced(text: Column) -> Column:
+    """The words of a text with a space before and after each."""
+    return F.concat(F.lit(" "), F.regexp_replace(F.lower(text), GAP, " "), F.lit(" "))
 
 
 def shingles(tokens: Column) -> Column:
@@ -98,9 +107,10 @@ def scan_licenses(
     retrieved with chance 1 - (1 - j)**24: over 0.995 for 0.2, over 0.9999 for 0.32. What is
     retrieved counts if at least ``least`` of the template's shingles are in the window.
 
-    A window can only be retrieved if it holds a smallest shingle of a template. So texts are
-    skipped that have, of each of those shingles, not even its longest word; nothing that
-    the bands would retrieve is lost by that. The templates are a bounded list.
+    A window can only be retrieved if it holds the smallest shingle that a template has in
+    some band. So texts and windows without any of those shingles are skipped before they
+    are hashed; nothing that the bands would retrieve is lost by that. The templates are a
+    bounded list.
 
     One row per input row; rows that repeat a doc_id share their matches. Null or empty text
     has none, and so have rows of null doc_id, whose row is kept. Other columns are not read.
@@ -116,25 +126,33 @@ def scan_licenses(
         )
         .collect()
     )
-    telling = sorted({max(r["least"].split(" "), key=lambda x: (len(x), x)) for r in rows})
+    telling = sorted({r["least"] for r in rows} - {""})
     widths = sorted({r["width"] for r in rows})
     bands = spark.createDataFrame(
         [(r["license"], r["width"], r["band"], r["value"], r["template"]) for r in rows],
         "license string, width int, band int, value bigint, template array<string>",
     )
 
-    # Texts without any such word, even within another, need not be cut into words.
-    holds = F.col(text_col).rlike("(?iu)" + "|".join(telling))
+    def told(shingles: Column) -> Column:
+        return F.arrays_overlap(shingles, F.array(*map(F.lit, telling)).cast("array<string>"))
+
+    def cut_out(tokens: Column, at: Column) -> Column:
+        return shingles(F.slice(tokens, at["start"] + 1, 2 * at["width"]))
+
+    # Texts without any such shingle need not be cut into words. Words have only letters and
+    # digits, so nothing in them means anything else to the pattern.
+    holds = spaced(F.col(text_col)).rlike(f" (?:{'|'.join(telling)}) ")
     tokens = docs.filter(holds).select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("tokens"))
-    likely = tokens.filter(F.arrays_overlap("tokens", F.array(*map(F.lit, telling))))
-    starts = F.explode(F.flatten(F.array(*(window_starts(F.col("tokens"), width) for width in widths))))
-    # The words of a window are cut out before they are spread over rows.
-    windows = (
-        likely.select("doc_id", "tokens", starts.alias("w"))
-        .select("doc_id", "w.width", F.slice("tokens", F.col("w.start") + 1, 2 * F.col("w.width")).alias("window"))
-        .filter(F.arrays_overlap("window", F.array(*map(F.lit, telling))))
-        .select("doc_id", "width", F.array_distinct(shingles(F.col("window"))).alias("window"))
+    # Windows are chosen and cut out before they are spread over rows, which would copy the
+    # whole text to each row.
+    starts = F.flatten(F.array(*(window_starts(F.col("tokens"), width) for width in widths)))
+    chosen = F.transform(
+        F.filter(starts, lambda at: told(cut_out(F.col("tokens"), at))),
+        lambda at: F.struct(
+            at["width"].alias("width"), F.array_distinct(cut_out(F.col("tokens"), at)).alias("window")
+        ),
     )
+    windows = tokens.select("doc_id", F.explode(chosen).alias("w")).select("doc_id", "w.width", "w.window")
     retrieved = (
         windows.select(
             "doc_id", "width", "window",
