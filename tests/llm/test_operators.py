@@ -238,6 +238,34 @@ def test_toxicity(spark, docs):
     assert len(out) == len(AWKWARD) and all(0 <= r.score <= 1 for r in out)
 
 
+def test_licenses_by_brute_force(spark):
+    """Every window of every text against every template, without bands or preselection."""
+
+    def cut(text):
+        return [t for t in re.split(r"[^a-z0-9\u0080-\U0010ffff]+", (text or "").lower()) if t]
+
+    def grams(tokens):
+        return {" ".join(tokens[i : i + 3]) for i in range(max(len(tokens) - 3, 0) + 1)}
+
+    templates = []
+    for name, body in licenses.TEMPLATES.items():
+        tokens = cut(body)
+        templates.append((name, max(8, 1 << (len(tokens) - 1).bit_length()), grams(tokens)))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = {}
+    for row in docs.select("doc_id", "text").collect():
+        tokens = cut(row.text)
+        shares = {}
+        for name, width, template in templates:
+            for start in range(0, len(tokens), width):
+                window = grams(tokens[start : start + 2 * width])
+                shares[name] = max(shares.get(name, 0), len(window & template) / len(template))
+        want[row.doc_id] = sorted(name for name, share in shares.items() if share >= 0.8)
+    got = {r.doc_id: r.licenses for r in licenses.scan_licenses(docs).collect()}
+    assert got == want
+    assert any(want.values())
+
+
 def test_licenses(spark):
     body = licenses.TEMPLATES["MIT-notice"]
     rows = [(1, f"aa bb {body} cc"), (2, "x " * 500 + "Released under the MIT License."), (3, None), (3, ""), (None, body), (4, "free of charge")]
