@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,7 +108,7 @@ def longest(at, items, places, sizes) -> tuple[np.ndarray, ...]:
     return at[first], items[first], places[first], at[last] - at[first] + sizes[last]
 
 
-def _searcher(items: list[tuple[int, str]], window: int, all_rows: bool):
+def _searcher(items: list[tuple[int, str]], window: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         benchmark = Benchmark(items, window)
         for batch in batches:
@@ -128,11 +128,10 @@ def _searcher(items: list[tuple[int, str]], window: int, all_rows: bool):
             kind = pa.list_(
                 pa.struct([("item_id", pa.int64()), ("doc_word", pa.int32()), ("item_word", pa.int32()), ("n_words", pa.int32())])
             )
-            out = pa.record_batch(
+            yield pa.record_batch(
                 [batch.column(0), pa.array(n_words, pa.int64()), pa.array(rows, kind)],
                 ["doc_id", "n_words", "matches"],
             )
-            yield out if all_rows else out.filter(pa.array([bool(x) for x in rows], pa.bool_()))
 
     return search
 
@@ -169,39 +168,47 @@ def find_matches(
     Each task sorts the suffixes of its shard of documents and looks every test suffix up by
     binary search. The benchmark goes to all tasks in blocks of at most ``block_bytes`` of
     text; a larger benchmark takes several passes over the documents, whose matches are then
-    put together by document. A match over 64-bit word values stands for one over words.
+    put together by text. A match over 64-bit word values stands for one over words.
 
     Null text has no words; null doc_id is carried along. Repeated rows are searched one by
-    one; where the benchmark takes several passes, rows equal in id and text make one row.
-    Items without id or words match nothing. Other columns are not read.
+    one and all come back, whatever the number of passes. Items without id or words match
+    nothing. Other columns are not read.
     """
     items = benchmark.select(F.col("item_id").cast("long"), F.col("text")).dropna()
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
-    passes = [
-        mapped(source, _searcher(block, window, all_rows=True), RESULT)
-        if k == 0
-        else _with_digest(source, block, window)
-        for k, block in enumerate(blocks(items, block_bytes))
-    ]
-    if not passes:
-        return mapped(source, _searcher([], window, all_rows=True), RESULT)
-    if len(passes) == 1:
-        return passes[0]
-    first = next(iter(blocks(items, block_bytes)))
-    every = [_with_digest(source, first, window, all_rows=True), *passes[1:]]
-    union = every[0]
-    for more in every[1:]:
-        union = union.unionByName(more)
+    first, *others = list(blocks(items, block_bytes)) or [[]]
+    if not others:
+        return mapped(source, _searcher(first, window), RESULT)
+    return _gathered(source, first, others, window).drop("_digest")
+
+
+def _gathered(source: DataFrame, first, others, window: int) -> DataFrame:
+    """Matches of several blocks in each row of ``source``, with the digest of its text."""
+    rest = None
+    for k, block in enumerate(others):
+        found = _with_digest(source, block, window).select("_digest", "matches", F.lit(k).alias("_pass"))
+        rest = found if rest is None else rest.unionByName(found)
+    # Matches follow from the text alone, so rows of one text have the same in each pass.
+    rest = (
+        rest.groupBy("_digest", "_pass")
+        .agg(F.first("matches").alias("matches"))
+        .groupBy("_digest")
+        .agg(F.flatten(F.collect_list("matches")).alias("_more"))
+    )
     return (
-        union.groupBy("doc_id", "_digest")
-        .agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches"))
-        .select("doc_id", "n_words", "matches")
+        _with_digest(source, first, window, all_rows=True)
+        .join(rest, "_digest", "left")
+        .select("doc_id", "_digest", "n_words", F.when(F.col("_more").isNull(), F.col("matches")).otherwise(F.concat("matches", "_more")).alias("matches"))
     )
 
 
+def _digest(text) -> Column:
+    return F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256)
+
+
 def _with_digest(source: DataFrame, block, window: int, all_rows: bool = False) -> DataFrame:
     """As one pass, with a digest of the text, by which passes are put together."""
-    search = _searcher(block, window, all_rows=True)
+    search = _searcher(block, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,8 +217,7 @@ def _with_digest(source: DataFrame, block, window: int, all_rows: bool = False)
                 keep = pa.array([all_rows or bool(x) for x in out.column(2).to_pylist()], pa.bool_())
                 yield whole.filter(keep)
 
-    digest = F.sha2(F.coalesce("_text", F.lit("")).cast("binary"), 256).alias("_digest")
-    return mapped(source.select("doc_id", "_text", digest), run, f"{RESULT}, _digest string")
+    return mapped(source.select("doc_id", "_text", _digest(F.col("_text")).alias("_digest")), run, f"{RESULT}, _digest string")
 
 
 def judged(matches: DataFrame) -> DataFrame:
@@ -259,16 +265,21 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` without contaminated rows; the other rows and all columns stay as they are.
 
-    A row is judged within the task that holds it, so nothing is shuffled. For a benchmark of
-    several blocks a row's hits are gathered in one pass after another over its words.
+    A row is judged by its text alone. For a benchmark of one block that happens within the
+    task that holds it, so nothing is shuffled. For several blocks hits are gathered in one
+    pass after another, and rows are told by a digest of their text: neither a null doc_id
+    nor one shared with a contaminated row costs a clean row.
     """
     items = list(blocks(benchmark.select(F.col("item_id").cast("long"), F.col("text")).dropna(), block_bytes))
     if len(items) > 1:
-        found = judged(find_matches(docs, benchmark, window, block_bytes, id_col, text_col))
+        text = F.col(f"`{text_col}`")
+        source = docs.select(F.lit(None).cast("long").alias("doc_id"), text.cast("string").alias("_text"))
+        found = _gathered(source, items[0], items[1:], window)
+        found = judged(found.select(F.col("_digest").alias("doc_id"), "n_words", "matches"))
         bad = found.filter("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
         row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-        on = F.col(f"_row.{id_col}").eqNullSafe(F.col("_bad"))
-        return docs.select(row).join(bad, on, "left_anti").select("_row.*")
+        rows = docs.select(row, _digest(text).alias("_of"))
+        return rows.join(bad, F.col("_of") == F.col("_bad"), "left_anti").select("_row.*")
     block = items[0] if items else []
     place = docs.columns.index(text_col)
 

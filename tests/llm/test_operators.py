@@ -287,6 +287,22 @@ def test_decontaminate(spark, docs):
         assert {r.doc_id for r in left.collect()} == {i for i, _ in AWKWARD} - {10, 11, 12}
 
 
+def test_decontaminate_by_row(spark):
+    """Rows of null, shared and repeated ids fare the same whatever the size of the blocks."""
+    dirty = "before " + PASSAGE
+    rows = [(None, dirty), (None, "clean words"), (None, None), (7, dirty), (7, "clean seven"), (7, "clean seven"), (8, dirty), (8, dirty)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = benchmark(spark, [(1, PASSAGE), (2, PASSAGE), (3, "other item")])
+    key = lambda r: tuple(map(repr, r))
+    for size in (1 << 20, 8):
+        left = decontaminate.decontaminate(docs, items, block_bytes=size).collect()
+        assert sorted(map(key, left)) == sorted(map(key, [x for x in rows if x[1] != dirty]))
+        found = decontaminate.judged(decontaminate.find_matches(docs, items, block_bytes=size)).collect()
+        got = sorted(key((r.doc_id, r.n_words, r.n_hit, r["items"], r.contaminated)) for r in found)
+        hit = lambda t: (61, 60, ["1", "2"], True) if t == dirty else (len((t or "").split()), 0, [], False)
+        assert got == sorted(key((i, *hit(t))) for i, t in rows)
+
+
 def test_bpe(spark, docs):
     from tokenizers import Tokenizer
 
