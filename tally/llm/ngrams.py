@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tally.llm import words as w
@@ -119,8 +119,8 @@ def _describe(length: int, percent: int):
                     parts = [allocate(values, band, percent) for band in bands(len(values), percent)]
                 rows.append(_signed(np.concatenate(parts)) if parts else np.zeros(0, np.int64))
             yield pa.record_batch(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(rows, pa.list_(pa.int64()))],
-                ["doc_id", "n", "set", "signatures"],
+                [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(rows, pa.list_(pa.int64()))],
+                ["doc_id", "digest", "n", "set", "signatures"],
             )
 
     return run
@@ -253,22 +253,54 @@ def similar_sets(
     document: links of all its texts count, n_shingles is the largest, one row comes back.
     Other columns are not read. Shingles are compared by 64-bit values.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("_text"))
-    described = cut(mapped(source, _describe(length, percent), "doc_id bigint, n bigint, set bigint, signatures array<bigint>"))
+    answer = _nodes(docs, length, percent, id_col, text_col)
+    one_row = answer.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max("n").alias("n_shingles"),
+        F.coalesce(F.sum("n_links"), F.lit(0)).cast("long").alias("n_links"),
+        F.min(F.coalesce("_least", "doc_id")).alias("component_id"),
+    )
+    without = answer.filter(F.col("doc_id").isNull()).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id")
+    )
+    return one_row.unionByName(without)
+
+
+def _columns(id_col: str, text_col: str) -> list[Column]:
+    text = F.col(text_col).cast("string")
+    return [F.col(id_col).cast("long").alias("doc_id"), text.alias("_text"), F.xxhash64(text).alias("digest")]
+
+
+def _nodes(docs: DataFrame, length: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Each row with its set: doc_id, digest of the text, n, set, n_links, and the smallest
+    doc_id of the set's component (_least) where that holds more than this row."""
+    source = docs.select(*_columns(id_col, text_col))
+    described = cut(
+        mapped(
+            source.select("doc_id", "_text", "digest"),
+            _describe(length, percent),
+            "doc_id bigint, digest bigint, n bigint, set bigint, signatures array<bigint>",
+        )
+    )
+    known = described.filter(F.col("doc_id").isNotNull())
     sets = (
-        described.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0))
+        known.filter(F.col("n") > 0)
         .groupBy("set", "n")
-        .agg(F.min("doc_id").alias("doc_id"))
+        .agg(F.min(F.struct("doc_id", "digest")).alias("_first"))
     )
+    repeated = not known.groupBy("doc_id", "digest").agg(F.count("*").alias("_times")).filter(F.col("_times") > 1).isEmpty()
     members = _lists(described)
 
     base = source.filter(F.col("doc_id").isNotNull())
-    named = sets.select("set", "n", F.col("doc_id").alias("_owner"))
+    named = sets.select("set", F.col("_first.doc_id").alias("_owner"), F.col("_first.digest").alias("_of"))
 
     def texts(wanted: DataFrame) -> DataFrame:
-        """A text for each set, its owner's. An owner with several texts gives them all."""
+        """One text for each set: of its owner's texts the one that has this set."""
         owned = wanted.join(named, "set")
-        return owned.join(base, owned["_owner"] == base["doc_id"]).select("set", "_text")
+        on = (owned["_owner"] == base["doc_id"]) & (owned["_of"] == base["digest"])
+        found = owned.join(base, on)
+        # Rows equal in doc_id and text would each give it.
+        found = found.dropDuplicates(["doc_id", "digest", "set"]) if repeated else found
+        return found.select("set", "_text")
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = cut(pairs.distinct())
@@ -343,23 +375,14 @@ def similar_sets(
         found = components(links, "one", "other")
 
     counts = links.select(F.explode(F.array("one", "other")).alias("set")).groupBy("set").agg(F.count("*").alias("n_links"))
-    described = described.select("doc_id", "n", "set")
+    described = described.select("doc_id", "digest", "n", "set")
     nodes = (
         described.join(found.select(F.col("node").alias("set"), F.col("component").alias("_found")), "set", "left")
         .join(counts, "set", "left")
         .withColumn("_group", F.when(F.col("n") > 0, F.coalesce("_found", "set")))
     )
     smallest = nodes.filter(F.col("_group").isNotNull()).groupBy("_group").agg(F.min("doc_id").alias("_least"), F.count("*").alias("_many"))
-    answer = nodes.join(smallest.filter(F.col("_many") > 1), "_group", "left")
-    one_row = answer.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
-        F.max("n").alias("n_shingles"),
-        F.coalesce(F.sum("n_links"), F.lit(0)).cast("long").alias("n_links"),
-        F.min(F.coalesce("_least", "doc_id")).alias("component_id"),
-    )
-    without = answer.filter(F.col("doc_id").isNull()).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id")
-    )
-    return one_row.unionByName(without)
+    return nodes.join(smallest.filter(F.col("_many") > 1), "_group", "left")
 
 
 def keep_one(
@@ -367,10 +390,14 @@ def keep_one(
 ) -> DataFrame:
     """``docs`` with one document of each component: that of the smallest doc_id.
 
-    Rows without doc_id stay. Other columns come back as they were.
+    Where a doc_id repeats, each text is judged by its own set: one goes when its component
+    has a smaller doc_id, the others under that id stay. Rows without doc_id stay. Other
+    columns come back as they were.
     """
-    found = similar_sets(docs, length, percent, id_col, text_col)
-    lost = found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_lost"))
+    found = _nodes(docs, length, percent, id_col, text_col)
+    lost = found.filter(F.col("doc_id") != F.col("_least")).select(F.col("doc_id").alias("_lost"), F.col("digest").alias("_of")).distinct()
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
-    on = F.col(f"_row.{id_col}") == F.col("_lost")
-    return docs.select(row).join(lost, on, "left_anti").select("_row.*")
+    doc_id, _, digest = _columns(id_col, text_col)
+    rows = docs.select(row, doc_id.alias("_id"), digest.alias("_digest"))
+    on = (F.col("_id") == F.col("_lost")) & (F.col("_digest") == F.col("_of"))
+    return rows.join(lost, on, "left_anti").select("_row.*")

@@ -144,6 +144,24 @@ def test_ngram_join_awkward(docs):
     assert left.columns == docs.columns and left.filter("doc_id in (5, 9)").count() == 0
 
 
+def test_ngram_join_shared_ids(spark, monkeypatch):
+    """An id with many texts: each set is compared by its own text, each row judged by its own."""
+    monkeypatch.setattr(ngrams, "SHORT_LIST", 2)
+    rows = [(i % 3 if i % 2 else i + 1000, t) for i, t in near_copies()]
+    own = [(i, t) for i, (_, t) in enumerate(rows)]
+    alone = {i: r.component_id for i, r in ((r.doc_id, r) for r in ngrams.similar_sets(spark.createDataFrame(own, "doc_id bigint, text string")).collect())}
+    least = {}
+    for i, t in own:
+        if shingle_set(t):
+            least[alone[i]] = min(least.get(alone[i], rows[i][0]), rows[i][0])
+    want = sorted((d, t) for i, (d, t) in enumerate(rows) if least.get(alone[i], d) == d)
+    left = ngrams.keep_one(spark.createDataFrame(rows + rows[:9], "doc_id bigint, text string"))
+    assert sorted({(r.doc_id, r.text) for r in left.collect()}) == sorted(set(want))
+    lone = [(1, "a b c d e f g"), (2, "a b c d e f g"), (2, "unlike any other text at all"), (2, "unlike any other text at all")]
+    left = ngrams.keep_one(spark.createDataFrame(lone, "doc_id bigint, text string")).collect()
+    assert sorted(map(tuple, left)) == [lone[0], lone[2], lone[2]]
+
+
 def words_kept(rows, window=20):
     seen, out = set(), {}
     for i, text in sorted(rows):
