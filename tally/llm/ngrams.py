@@ -230,15 +230,17 @@ def _lists(described: DataFrame) -> DataFrame:
 
 
 def similar_sets(
-    docs: DataFrame, length: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, length: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text", count_links: bool = True
 ) -> DataFrame:
     """Documents linked by n-gram similarity: doc_id, n_shingles, n_links, component_id.
 
     Two documents link when ``100 * intersection >= percent * union`` of their sets of
     ``length``-word shingles (A-Z as a-z). A text of fewer words is one shingle; one without
     words has an empty set and no link. component_id is the smallest doc_id reachable over
-    links, the document's own included. n_links counts links to documents of other sets that
-    were looked at (copies, and pairs known to be in one component, are not expanded).
+    links, the document's own included. n_links is the number of other documents that a
+    document links with, copies included. To count them every candidate pair of different
+    sets is checked, as many as the square of a group of near copies; without
+    ``count_links`` the column is left out, and components need far fewer checks.
 
     Equal sets are one node. Sets are cut into segments by hash, as many for each size band
     that linked sets must agree in one of those kept (``allocate``). Sets in one list are
@@ -253,16 +255,51 @@ def similar_sets(
     document: links of all its texts count, n_shingles is the largest, one row comes back.
     Other columns are not read. Shingles are compared by 64-bit values.
     """
-    answer = _nodes(docs, length, percent, id_col, text_col)
+    answer, links = _nodes(docs, length, percent, id_col, text_col, count_links)
     one_row = answer.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.max("n").alias("n_shingles"),
-        F.coalesce(F.sum("n_links"), F.lit(0)).cast("long").alias("n_links"),
         F.min(F.coalesce("_least", "doc_id")).alias("component_id"),
     )
     without = answer.filter(F.col("doc_id").isNull()).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id")
     )
-    return one_row.unionByName(without)
+    found = one_row.unionByName(without)
+    if not count_links:
+        return found
+    n_links = F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+    return found.join(_count_links(answer, links), "doc_id", "left").select("doc_id", "n_shingles", n_links, "component_id")
+
+
+def _count_links(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """How many other documents each document links with: (doc_id, n_links).
+
+    A document with one set counts as its set, so copies are not expanded: a linked set
+    stands for as many documents as have it alone. Documents with several sets are counted
+    one by one, as they can be linked by more than one of them.
+    """
+    held = nodes.filter(F.col("doc_id").isNotNull() & (F.col("n") > 0)).select("doc_id", "set").distinct()
+    many = held.groupBy("doc_id").agg((F.count("*") > 1).alias("_many"))
+    held = cut(held.join(many, "doc_id"))
+    alone = held.filter(~F.col("_many")).groupBy("set").agg(F.count("*").alias("_alone"))
+    several = held.filter("_many").select(F.col("doc_id").alias("_several"), "set")
+    # A set is linked with itself: copies link.
+    linked = links.unionByName(links.select(F.col("other").alias("one"), F.col("one").alias("other")))
+    own = held.select(F.col("set").alias("one"), F.col("set").alias("other")).distinct()
+    linked = cut(linked.unionByName(own).distinct())
+
+    def reached(ends: DataFrame) -> DataFrame:
+        """Documents that the sets of a unit reach, its own included: (_unit, _reached)."""
+        pairs = cut(ends.join(linked, ends["set"] == linked["one"]).select("_unit", "other").distinct())
+        by_set = pairs.join(alone, pairs["other"] == alone["set"]).select("_unit", F.col("_alone").alias("_n"))
+        by_doc = pairs.join(several, pairs["other"] == several["set"]).select("_unit", "_several").distinct()
+        both = by_set.unionByName(by_doc.select("_unit", F.lit(1).cast("long").alias("_n")))
+        return both.groupBy("_unit").agg(F.sum("_n").alias("_reached"))
+
+    of_set = reached(alone.select("set", F.col("set").alias("_unit")))
+    of_doc = reached(several.select("set", F.col("_several").alias("_unit")))
+    n_links = (F.col("_reached") - 1).alias("n_links")
+    single = held.filter(~F.col("_many")).join(of_set, F.col("set") == F.col("_unit")).select("doc_id", n_links)
+    return single.unionByName(of_doc.select(F.col("_unit").alias("doc_id"), n_links))
 
 
 def _columns(id_col: str, text_col: str) -> list[Column]:
@@ -270,9 +307,12 @@ def _columns(id_col: str, text_col: str) -> list[Column]:
     return [F.col(id_col).cast("long").alias("doc_id"), text.alias("_text"), F.xxhash64(text).alias("digest")]
 
 
-def _nodes(docs: DataFrame, length: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Each row with its set: doc_id, digest of the text, n, set, n_links, and the smallest
-    doc_id of the set's component (_least) where that holds more than this row."""
+def _nodes(
+    docs: DataFrame, length: int, percent: int, id_col: str, text_col: str, every_link: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Each row with its set: doc_id, digest of the text, n, set, and the smallest doc_id of
+    the set's component (_least) where that holds more than this row. And links between
+    sets (one, other): with ``every_link`` all, else as many as give the components."""
     source = docs.select(*_columns(id_col, text_col))
     described = cut(
         mapped(
@@ -329,6 +369,9 @@ def _nodes(docs: DataFrame, length: int, percent: int, id_col: str, text_col: st
     placed = members.join(found.select(F.col("node").alias("set"), "component"), "set", "left").withColumn(
         "component", F.coalesce("component", "set")
     )
+    if every_link:
+        # No pair is known to need no check.
+        placed = members.withColumn("component", F.col("set"))
     state = placed.groupBy("signature").agg(
         F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_size")
     )
@@ -371,18 +414,16 @@ def _nodes(docs: DataFrame, length: int, percent: int, id_col: str, text_col: st
         pairs = pairs.unionByName(more)
     pairs = cut(pairs.distinct())
     if not pairs.isEmpty():
-        links = cut(links.unionByName(verified(pairs)))
+        links = cut(links.unionByName(verified(pairs)).distinct())
         found = components(links, "one", "other")
 
-    counts = links.select(F.explode(F.array("one", "other")).alias("set")).groupBy("set").agg(F.count("*").alias("n_links"))
     described = described.select("doc_id", "digest", "n", "set")
     nodes = (
         described.join(found.select(F.col("node").alias("set"), F.col("component").alias("_found")), "set", "left")
-        .join(counts, "set", "left")
         .withColumn("_group", F.when(F.col("n") > 0, F.coalesce("_found", "set")))
     )
     smallest = nodes.filter(F.col("_group").isNotNull()).groupBy("_group").agg(F.min("doc_id").alias("_least"), F.count("*").alias("_many"))
-    return nodes.join(smallest.filter(F.col("_many") > 1), "_group", "left")
+    return nodes.join(smallest.filter(F.col("_many") > 1), "_group", "left"), links
 
 
 def keep_one(
@@ -394,7 +435,7 @@ def keep_one(
     has a smaller doc_id, the others under that id stay. Rows without doc_id stay. Other
     columns come back as they were.
     """
-    found = _nodes(docs, length, percent, id_col, text_col)
+    found, _ = _nodes(docs, length, percent, id_col, text_col)
     lost = found.filter(F.col("doc_id") != F.col("_least")).select(F.col("doc_id").alias("_lost"), F.col("digest").alias("_of")).distinct()
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row")
     doc_id, _, digest = _columns(id_col, text_col)

@@ -127,7 +127,7 @@ def suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngrams.similar_sets(table(spark, sf_dir, "documents")).drop("n_links")
+    return ngrams.similar_sets(table(spark, sf_dir, "documents"), count_links=False)
 
 
 NGRAM_SQL = f"""

@@ -135,6 +135,22 @@ def test_ngram_join(spark, docs, monkeypatch, short_list):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == {i: (len(s), least[i]) for i, s in sets.items()}
 
 
+@pytest.mark.parametrize("short_list", [2, 32])
+def test_ngram_links(spark, monkeypatch, short_list):
+    """Every pair of linked documents counts: near copies, copies, ids with several texts."""
+    monkeypatch.setattr(ngrams, "SHORT_LIST", short_list)
+    rows = near_copies()
+    rows += [(1000 + i, rows[i][1]) for i in range(0, 60, 7)] + [(3, rows[5][1]), (3, rows[120][1]), (5, rows[9][1]), (None, rows[1][1])]
+    sets = collections.defaultdict(set)
+    for i, t in rows:
+        if i is not None:
+            sets[i].add(frozenset(shingle_set(t)))
+    link = lambda a, b: bool(a & b) and 100 * len(a & b) >= 80 * len(a | b)
+    want = {i: sum(i != j and any(link(a, b) for a in sets[i] for b in sets[j]) for j in sets) for i in sets}
+    found = ngrams.similar_sets(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.n_links for r in found} == want | {None: 0}
+
+
 def test_ngram_join_awkward(docs):
     found = {r.doc_id: r for r in ngrams.similar_sets(docs).collect() if r.doc_id is not None}
     assert found.keys() == {i for i, _ in AWKWARD if i is not None}
