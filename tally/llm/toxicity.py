@@ -128,7 +128,8 @@ def build_index(
     """Choose terms and examples, and count the terms over all documents.
 
     The index holds up to ``most`` examples a class. Its terms are the ``n_terms`` that are
-    most telling of either class. What counts is after how many different words a term
+    most telling of toxic texts; all other words are left out of the vectors and their
+    norms. What counts is after how many different words a term
     stands, not how often: copies of one text repeat its contexts and add nothing. Document
     frequencies for the weights are of all of ``docs``.
     """
