@@ -405,3 +405,51 @@ def test_pipeline(spark):
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF).collect()} == ids
     texts = [r.text for r in out.collect()]
     assert len(set(texts)) == len(texts)
+
+
+def test_pipeline_stages_by_brute_force(spark):
+    """What each stage after the classifier keeps of its own input, in plain Python."""
+    from tokenizers import Tokenizer
+
+    stages = dict(corpus_pipeline.STAGES)
+    rows = lambda frame: sorted((r.doc_id, r.text) for r in frame.select("doc_id", "text").collect())
+    docs = stages["quality classifier"](spark, spark.read.parquet(f"{SF}/documents.parquet"), SF).cache()
+
+    before = rows(docs)
+    last = {t or "": i for i, t in before}
+    docs = stages["exact dedup"](spark, docs, SF).cache()
+    assert rows(docs) == [(i, t) for i, t in before if last[t or ""] == i]
+
+    before = rows(docs)
+    sets = {i: shingle_set(t) for i, t in before}
+    least = {i: i for i in sets}
+    links = [(a, b) for a in sets for b in sets if sets[a] and a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    docs = stages["n-gram Jaccard join"](spark, docs, SF).cache()
+    assert rows(docs) == [(i, t) for i, t in before if least[i] == i]
+
+    before = rows(docs)
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    windows = set()
+    for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect():
+        item = cut(r.text)
+        windows |= {tuple(item[p : p + 13]) for p in range(max(len(item) - 12, 1))} - {()}
+
+    def dirty(text):
+        found = cut(text)
+        hit = {p + k for n in {len(x) for x in windows} for p in range(len(found) - n + 1) if tuple(found[p : p + n]) in windows for k in range(n)}
+        return bool(hit) and 20 * len(hit) >= len(found)
+
+    docs = stages["benchmark decontamination"](spark, docs, SF).cache()
+    assert rows(docs) == [(i, t) for i, t in before if not dirty(t)]
+
+    library = Tokenizer.from_file(bpe._vocabulary(None))
+    want = {}
+    for i, t in rows(docs):
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        want[i] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest())
+    out = stages["BPE encoding and decoding"](spark, docs, SF).collect()
+    assert len(out) == len(want) and {r.doc_id: (r.n_tokens, r.ids_sha256) for r in out} == want
+    assert sorted(want) == sorted(r.doc_id for r in corpus_pipeline.run(spark, SF).collect())
