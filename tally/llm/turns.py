@@ -199,7 +199,7 @@ PIECES = (
 LEGAL = {"su", "ua", "au"}
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Rows come in order, in each partition. The first piece there may go on from another
     partition and pieces after a full one go on too, so they are parsed from every top."""
     conv, piece, rows, fresh = None, None, [], False
@@ -216,7 +216,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         columns = (batch.column(c).to_pylist() for c in ("conv_id", "row_id", "initial", "must_go", "truncated"))
         for c, row_id, *row in zip(*columns):
-            if rows and (c != conv or len(rows) == PIECE_ROWS):
+            if rows and (c != conv or len(rows) == most):
                 yield ended()
                 fresh, rows = c != conv, []
             if not rows:
@@ -311,7 +311,7 @@ class Repair:
     turns: DataFrame
 
 
-def repair(rows: DataFrame) -> Repair:
+def repair(rows: DataFrame, piece_rows: int = PIECE_ROWS) -> Repair:
     """Repair conversations of rows (conv_id, turn, role, text) to ``(s?(ua)+)?`` roles.
 
     Rows go by turn (nulls first; ties by role and text). A row's first fault counts: blank,
@@ -324,7 +324,7 @@ def repair(rows: DataFrame) -> Repair:
     A generalised LR parser takes row by row; its graph-structured stack keeps the cheapest
     way for each top. Rows are dealt to tasks by ranges of (conv_id, turn, ...), so one
     conversation of a third of all rows lies in many tasks. Each parses pieces of at most
-    ``PIECE_ROWS`` rows from every top they can start at; pieces are then joined in order by
+    ``piece_rows`` rows from every top they can start at; pieces are then joined in order by
     their tops, one row of choices a piece.
 
     Null role or text counts as one space; null conv_id is a conversation of its own. A role
@@ -370,7 +370,8 @@ def repair(rows: DataFrame) -> Repair:
     )
     judged = cut(judged)
     dealt = judged.repartitionByRange("row_id").sortWithinPartitions("row_id")
-    pieces = cut(mapped(dealt.select("conv_id", "row_id", "initial", "must_go", "truncated"), _pieces, PIECES))
+    taken = dealt.select("conv_id", "row_id", "initial", "must_go", "truncated")
+    pieces = cut(mapped(taken, functools.partial(_pieces, most=piece_rows), PIECES))
     in_order = pieces.repartition("conv_id").sortWithinPartitions("conv_id", "piece", "entry")
     chosen = cut(
         mapped(in_order, _choose, CHOSEN)
