@@ -28,10 +28,15 @@ def endpoint(place: str, args: argparse.Namespace) -> Endpoint:
             place.removeprefix(KAFKA),
             start=args.start,
             fail_on_data_loss=not args.tolerate_data_loss,
+            max_offsets=args.max_offsets,
+            min_partitions=args.min_partitions,
         )
-    if args.start == "latest":
-        raise SystemExit("a folder can only be read from the earliest file on")
-    return Files(place, ignore_missing=args.tolerate_data_loss)
+    return Files(
+        place,
+        max_bytes=args.max_bytes,
+        ignore_missing=args.tolerate_data_loss,
+        start=args.start,
+    )
 
 
 def document_target(place: str, collection: str) -> Documents:
@@ -50,6 +55,9 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--labels", nargs="+", default=list(ISSUES))
         sub.add_argument("--start", choices=("earliest", "latest"), default="earliest")
         sub.add_argument("--tolerate-data-loss", action="store_true")
+        sub.add_argument("--max-bytes", type=int, help="most bytes of files a trigger takes")
+        sub.add_argument("--max-offsets", type=int, help="most Kafka records a trigger takes")
+        sub.add_argument("--min-partitions", type=int, help="least tasks a Kafka trigger makes")
         sub.add_argument("--checkpoint", help="folder for the state of this job")
         sub.add_argument("--once", action="store_true", help="end when all input is read")
         return sub

@@ -21,27 +21,38 @@ class Files:
     path: str
     max_bytes: int | None = None
     ignore_missing: bool = False
+    start: str = "earliest"
 
     lineage = ("topic", "file", "row")
 
-    def stream(self, spark: SparkSession, topics: Sequence[str]) -> DataFrame:
+    def _log(self, spark: SparkSession, topics: Sequence[str], checkpoint: str | None) -> DataFrame:
+        log = sources.topic_stream(spark, self.path, topics, self.max_bytes, self.ignore_missing)
+        if self.start == "latest":
+            if checkpoint is None:
+                raise ValueError("the latest position is kept at a checkpoint")
+            log = sources.later_only(log, self.path, checkpoint)
+        return log
+
+    def stream(
+        self, spark: SparkSession, topics: Sequence[str], checkpoint: str | None = None
+    ) -> DataFrame:
         """Payloads with the place of each: the file and its row in it take the part that
-        partition and offset have in Kafka."""
-        log = sources.topic_stream(
-            spark, self.path, topics, self.max_bytes, self.ignore_missing
-        )
-        return log.select(
+        partition and offset have in Kafka. ``checkpoint`` is the job's; a start at the latest
+        position is kept there."""
+        return self._log(spark, topics, checkpoint).select(
             "value",
             "topic",
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.row_index").alias("row"),
         )
 
-    def outputs(self, spark: SparkSession, topic: str) -> DataFrame:
-        """What ``writer`` has left for a topic, as a stream of payloads with the batch that
-        each is of."""
-        folder = f"{self.path}/topic={topic}"
-        return sources.output_stream(spark, folder, self.ignore_missing, self.max_bytes)
+    def outputs(self, spark: SparkSession, topic: str, checkpoint: str | None = None) -> DataFrame:
+        """What ``writer`` has left for a topic, as a stream of payloads with run and batch
+        of each. The store's log lists a batch once, so none comes twice."""
+        log = self._log(spark, [topic], checkpoint)
+        return log.select(
+            F.col("value").cast("string").alias("value"), F.col("run").cast("string").alias("run"), "batch_id"
+        )
 
     def publish(self, log: DataFrame) -> None:
         sinks.publish(log, self.path)
@@ -50,9 +61,9 @@ class Files:
         return sinks.publish_stream(log, self.path, checkpoint)
 
     def writer(self, topic: str) -> Write:
-        """Per-batch writer; a repeated batch replaces its own folder."""
-        folder = f"{self.path}/topic={topic}"
-        return lambda df, batch_id: sinks.write_batch(df.select("value"), folder, batch_id)
+        """Per-batch writer to one topic; a repeated batch counts once."""
+        write = sinks.topic_writer(self.path, topic)
+        return lambda df, batch_id: write(df.select("value"), batch_id)
 
 
 @dataclass(frozen=True)
@@ -68,8 +79,13 @@ class Kafka:
     lineage = ("topic", "partition", "offset")
 
     def stream(
-        self, spark: SparkSession, topics: Sequence[str], lineage: Sequence[str] = lineage
+        self,
+        spark: SparkSession,
+        topics: Sequence[str],
+        checkpoint: str | None = None,
+        lineage: Sequence[str] = lineage,
     ) -> DataFrame:
+        """Payloads with the place of each. Spark keeps the position in the checkpoint."""
         options = sources.kafka_options(
             self.servers,
             topics,
@@ -80,10 +96,15 @@ class Kafka:
         )
         return sources.kafka_stream(spark, options, lineage)
 
-    def outputs(self, spark: SparkSession, topic: str) -> DataFrame:
-        """What ``writer`` has sent to a topic, with the batch that each message is of."""
-        sent = self.stream(spark, [topic], ["key"])
-        return sent.select("value", F.col("key").cast("string").cast("bigint").alias("batch_id"))
+    def outputs(self, spark: SparkSession, topic: str, checkpoint: str | None = None) -> DataFrame:
+        """What ``writer`` has sent to a topic, with run and batch of each message."""
+        sent = self.stream(spark, [topic], lineage=["key"])
+        key = F.col("key").cast("string")
+        return sent.select(
+            "value",
+            F.regexp_extract(key, "^(.*)/", 1).alias("run"),
+            F.substring_index(key, "/", -1).cast("bigint").alias("batch_id"),
+        )
 
     def publish(self, log: DataFrame) -> None:
         sinks.kafka_write(log, sinks.kafka_sink_options(self.servers))
@@ -93,11 +114,12 @@ class Kafka:
 
     def writer(self, topic: str) -> Write:
         """Per-batch writer. Kafka cannot replace what a failed attempt has sent, so each
-        message has the batch id as its key, by which a reader can drop repeats."""
+        message has run and batch as its key, by which a reader can drop repeats."""
         options = sinks.kafka_sink_options(self.servers, topic)
 
         def write(df: DataFrame, batch_id: int) -> None:
-            keyed = df.select("value", F.lit(str(batch_id)).alias("key"))
+            key = getattr(batch_id, "key", str(batch_id))
+            keyed = df.select("value", F.lit(key).alias("key"))
             keyed.write.format("kafka").options(**options).save()
 
         return write

@@ -45,7 +45,7 @@ def start_posts(
 ) -> list[StreamingQuery]:
     """Two queries over the topic of posts. A callback gets its batch already computed, so
     nothing would prune the unread fields there: only the sentiment is decoded."""
-    posts = decode(source.stream(spark, [POST_TOPIC]), POST_SENTIMENT)
+    posts = decode(source.stream(spark, [POST_TOPIC], checkpoint), POST_SENTIMENT)
     return [
         start(
             posts,

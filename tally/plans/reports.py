@@ -52,7 +52,7 @@ def start_reports(
     The totals stay a query of their own: it parses only the category out of each payload,
     which a shared, fully decoded batch would rule out.
     """
-    log = source.stream(spark, topics_of(labels))
+    log = source.stream(spark, topics_of(labels), checkpoint)
     record_key, reject_key = documents.key(source.lineage), rejected.key(source.lineage)
     checked = decode_checked(log, REPORT, keep=record_key or reject_key)
     # The batch is kept while it is written, so it carries no text that no output needs.

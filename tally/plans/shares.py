@@ -35,10 +35,10 @@ def start_shares(
     The snapshots are cumulative, so these shares weigh early records more than late ones.
     For the shares of the records themselves use ``share_of_total`` on the newest snapshot.
 
-    A writer that runs a batch again sends its message again; the copy is known by batch and
-    text and counts once. The state for that has a row per message.
+    A writer that runs a batch again sends its message again; the copy is known by run, batch
+    and text and counts once. The state for that has a row per message.
     """
-    messages = source.outputs(spark, topic).dropDuplicates(["batch_id", "value"])
+    messages = source.outputs(spark, topic, checkpoint).dropDuplicates(["run", "batch_id", "value"])
     received = decode_snapshots(messages)
     return start(
         snapshot_sums(received, labels),

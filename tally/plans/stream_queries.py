@@ -43,7 +43,7 @@ from tally.sources import (
     delimited_stream,
     latest_batch,
     read_batches,
-    topic_stream,
+    topic_batches,
     topic_table,
 )
 from tally.streaming import (
@@ -163,7 +163,7 @@ def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     table = read_batches(spark, f"{folder}/table", WINDOW_ROW)
-    newest = F.max_by("n", "batch_id").alias("n")
+    newest = F.max_by("n", F.struct("run", "batch_id")).alias("n")
     return table.groupBy("window_start", "window_end", "issue").agg(newest)
 
 
@@ -240,8 +240,8 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     finish(*queries)
     records = spark.read.schema(REPORT).json(f"{folder}/records")
     rejected = spark.read.schema("reason string").json(f"{folder}/rejected")
-    republished = read_batches(spark, f"{out.path}/topic={REPUBLISH_TOPIC}", "value string")
-    totals = read_batches(spark, f"{out.path}/topic={TOTALS_TOPIC}", "value string")
+    republished = topic_batches(spark, out.path, REPUBLISH_TOPIC)
+    totals = topic_batches(spark, out.path, TOTALS_TOPIC)
     parts = {
         "records": count_by(records, "issue"),
         "republished": count_by(decode(republished, REPORT), "issue"),

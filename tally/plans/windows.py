@@ -31,7 +31,7 @@ def start_windows(
     table to ``table`` and publishes the totals. The table gains a window every ten seconds
     and is handed over whole, so for runs of many days ``start_window_table`` is the better
     choice."""
-    log = source.stream(spark, topics_of(labels, BATCH_SUFFIX))
+    log = source.stream(spark, topics_of(labels, BATCH_SUFFIX), checkpoint)
     counts = processing_windows(tracked(decode(log, REPORT_ISSUE, filtered=True), labels))
     return start(
         counts,
@@ -55,7 +55,7 @@ def start_window_table(
 ) -> StreamingQuery:
     """Each window once, when it is over, appended to a table; ``add_up`` over that table
     gives the totals. State holds the open windows only."""
-    log = source.stream(spark, topics_of(labels, BATCH_SUFFIX))
+    log = source.stream(spark, topics_of(labels, BATCH_SUFFIX), checkpoint)
     counts = processing_windows(tracked(decode(log, REPORT_ISSUE, filtered=True), labels), delay=delay)
     return start(
         window_rows(counts),

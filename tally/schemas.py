@@ -34,5 +34,6 @@ POLARITIES = ("positive", "negative")
 
 SNAPSHOT = "map<string,bigint>"
 
-# A topic log is a table of opaque payloads, laid out in one folder per topic.
-LOG = "value binary, topic string"
+# A topic log is a table of opaque payloads, laid out in folders by run and batch of the
+# writer, and by topic.
+LOG = "value binary, topic string, run bigint, batch_id bigint"

@@ -4,7 +4,7 @@ from tally.sinks.batches import write_batch
 from tally.sinks.console import print_batch
 from tally.sinks.documents import document_options, documents, write_documents
 from tally.sinks.kafka import kafka_sink_options, kafka_write, kafka_write_stream
-from tally.sinks.topics import publish, publish_stream
+from tally.sinks.topics import publish, publish_stream, topic_writer
 
 __all__ = [
     "document_options",
@@ -15,6 +15,7 @@ __all__ = [
     "print_batch",
     "publish",
     "publish_stream",
+    "topic_writer",
     "write_batch",
     "write_documents",
 ]

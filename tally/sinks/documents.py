@@ -44,13 +44,14 @@ def write_documents(
 ) -> None:
     """Write one micro-batch, to the store if ``options`` are given, else below ``path``.
 
-    In the store a row is known by its ``key`` columns; without any, it is the batch's only
-    row. Below ``path`` the batch's folder does that, and no key is needed; each document
+    In the store a row is known by its ``key`` columns; without any, it is the only row of
+    its run's batch. Below ``path`` the batch's folder does that, and no key is needed; each document
     holds its batch id as well, so that it can be placed without the folder.
     """
     tagged = tag_batch(df, batch_id)
     if options is not None:
-        keyed = documents(tagged, key).drop("batch_id") if key else documents(tagged, ["batch_id"])
+        named = tagged.withColumn("batch_id", F.lit(getattr(batch_id, "key", str(batch_id))))
+        keyed = documents(tagged, key).drop("batch_id") if key else documents(named, ["batch_id"])
         keyed.write.format("mongodb").mode("append").options(**options).save()
     elif path is not None:
         write_batch(tagged, path, batch_id, "json")

@@ -5,9 +5,10 @@ from tally.sources.kafka import kafka_options, kafka_stream, kafka_table
 from tally.sources.topics import (
     bytes_per_trigger,
     file_stream,
+    later_only,
     latest_batch,
-    output_stream,
     read_batches,
+    topic_batches,
     topic_stream,
     topic_table,
 )
@@ -20,9 +21,10 @@ __all__ = [
     "kafka_options",
     "kafka_stream",
     "kafka_table",
+    "later_only",
     "latest_batch",
-    "output_stream",
     "read_batches",
+    "topic_batches",
     "topic_stream",
     "topic_table",
 ]

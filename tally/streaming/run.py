@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tally.commits import BatchId, run_of
 from tally.session import state_partitions
 
 BatchSink = Callable[[DataFrame, int], None]
@@ -26,13 +27,14 @@ def start(
 ) -> StreamingQuery:
     """Start ``df`` into a per-batch callback, or else into the sink ``fmt`` at ``path``.
 
-    ``once`` handles what is available and ends, otherwise a batch begins as soon as the
+    The callback gets a batch id that tells the checkpoint's run too. ``once`` handles what is available and ends, otherwise a batch begins as soon as the
     last one is done. ``state_width`` bounds the number of state partitions; give it where
     the state is small, see ``state_partitions``.
     """
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if sink is not None:
-        writer = writer.foreachBatch(sink)
+        run = run_of(df.sparkSession, checkpoint)
+        writer = writer.foreachBatch(lambda batch, n: sink(batch, BatchId(n, run)))
     else:
         writer = writer.format(fmt)
         if path is not None:

@@ -64,6 +64,7 @@ def window_snapshot_sink(
 
 
 def latest_totals(history: DataFrame, column: str = "issue") -> DataFrame:
-    """The newest snapshot of a history of ``value`` and ``batch_id``, one row per label."""
-    newest = history.agg(F.max_by("value", "batch_id").alias("value"))
+    """The newest snapshot of a history of ``value``, ``run`` and ``batch_id``, one row per
+    label."""
+    newest = history.agg(F.max_by("value", F.struct("run", "batch_id")).alias("value"))
     return decode_snapshots(newest).select(F.explode("counts").alias(column, "n"))

@@ -104,7 +104,7 @@ def report_rows(spark):
 def test_publisher_writes_both_topic_families(spark, tmp_path):
     out = Files(str(tmp_path / "topics"))
     publish_reports(report_rows(spark), out)
-    folders = sorted(p.name for p in (tmp_path / "topics").glob("topic=*"))
+    folders = sorted(p.name for p in (tmp_path / "topics").glob("run=*/batch_id=*/topic=*"))
     assert folders == [
         "topic=COLLISION", "topic=COLLISION_batch", "topic=TrafficHazard", "topic=TrafficHazard_batch",
     ]

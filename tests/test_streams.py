@@ -31,7 +31,7 @@ from tally.schemas import (
 )
 from tally.session import ROCKSDB_PROVIDER
 from tally.sinks import publish, write_batch
-from tally.sources import file_stream, read_batches
+from tally.sources import file_stream, read_batches, topic_batches
 from tally.streaming import (
     ProgressLog,
     fan_out,
@@ -59,8 +59,9 @@ def read(spark, folder):
     return decode(file_stream(spark, folder, "value binary"), REPORT)
 
 
-def snapshots_of(spark, path):
-    rows = read_batches(spark, path, "value string").orderBy("batch_id").collect()
+def snapshots_of(spark, path, topic=None):
+    history = read_batches(spark, path, "value string") if topic is None else topic_batches(spark, path, topic)
+    rows = history.orderBy("run", "batch_id").collect()
     return [(r.batch_id, json.loads(r.value)) for r in rows]
 
 
@@ -290,9 +291,9 @@ def test_report_job(spark, tmp_path):
     }
     rejected = spark.read.json(str(tmp_path / "rejected")).collect()
     assert [(r.issue, r.reason) for r in rejected] == [("Elsewhere", "unknown category")]
-    republished = read_batches(spark, f"{out.path}/topic={REPUBLISH_TOPIC}", "value string")
+    republished = topic_batches(spark, out.path, REPUBLISH_TOPIC)
     assert decode(republished, REPORT).count() == 4
-    history = snapshots_of(spark, f"{out.path}/topic={TOTALS_TOPIC}")
+    history = snapshots_of(spark, out.path, TOTALS_TOPIC)
     zeros = dict.fromkeys(ISSUES, 0)
     assert history == [
         (0, {**zeros, "COLLISION": 2, "Crash Urgent": 1}),
@@ -306,7 +307,7 @@ def test_window_job(spark, tmp_path):
     for values in (["COLLISION"], ["COLLISION", "Crash Service"]):
         publish_values(spark, source.path, values, lambda v: v.replace(" ", "") + "_batch")
         finish(start_windows(spark, source, out, str(tmp_path / "checkpoint"), table, once=True))
-    history = snapshots_of(spark, f"{out.path}/topic={WINDOW_TOTALS_TOPIC}")
+    history = snapshots_of(spark, out.path, WINDOW_TOTALS_TOPIC)
     zeros = dict.fromkeys(ISSUES, 0)
     assert history == [(0, {**zeros, "COLLISION": 1}), (1, {**zeros, "COLLISION": 2, "Crash Service": 1})]
     schema = "window_start timestamp, window_end timestamp, issue string, n bigint"
@@ -360,7 +361,7 @@ def test_command_line_from_file_to_totals(spark, tmp_path):
         run(spark, parser().parse_args(argv))
     expected = {**dict.fromkeys(ISSUES, 1), "COLLISION": 2}
     for topic in (TOTALS_TOPIC, WINDOW_TOTALS_TOPIC):
-        assert snapshots_of(spark, f"{place('out')}/topic={topic}") == [(0, expected)]
+        assert snapshots_of(spark, place("out"), topic) == [(0, expected)]
     assert spark.read.json(f"{place('documents')}/records").count() == 5
 
 
