@@ -79,7 +79,16 @@ def parser() -> argparse.ArgumentParser:
     sub = job("windows", "counts per ten-second window, and totals from them")
     sub.add_argument("source")
     sub.add_argument("out")
-    sub.add_argument("--table", help="folder for the window table; printed if not given")
+    sub.add_argument("--table", required=True, help="folder for the windows each trigger changes")
+    sub.add_argument("--event-time", action="store_true", help="window by the records' own times")
+    sub.add_argument("--delay", default=windows.DELAY, help="how late a row may come")
+    sub.add_argument("--rejected", help="folder for reports without a readable time")
+
+    sub = job("window-table", "each ten-second window once, when it is over")
+    sub.add_argument("source")
+    sub.add_argument("table", help="folder for the windows")
+    sub.add_argument("--event-time", action="store_true", help="window by the records' own times")
+    sub.add_argument("--delay", default=windows.DELAY, help="how late a row may come")
 
     sub = job("shares", "sums and shares from a totals topic")
     sub.add_argument("source", help="place of the totals topic")
@@ -121,16 +130,38 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.once,
         )
     elif args.job == "windows":
-        table = to_folder(args.table) if args.table else print_batch
+        source = endpoint(args.source, args)
         queries = [
             windows.start_windows(
                 spark,
-                endpoint(args.source, args),
+                source,
                 endpoint(args.out, args),
                 args.checkpoint,
-                table,
+                to_folder(args.table),
+                args.labels,
+                args.once,
+                args.event_time,
+                args.delay,
+            )
+        ]
+        if args.rejected:
+            rejected = Documents(path=args.rejected)
+            queries.append(
+                windows.start_untimed(
+                    spark, source, rejected, args.checkpoint, args.labels, args.once
+                )
+            )
+    elif args.job == "window-table":
+        queries = [
+            windows.start_window_table(
+                spark,
+                endpoint(args.source, args),
+                args.table,
+                args.checkpoint,
                 args.labels,
+                args.delay,
                 args.once,
+                args.event_time,
             )
         ]
     elif args.job == "shares":

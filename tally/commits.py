@@ -133,6 +133,23 @@ def batch_folder(spark: SparkSession, path: str, batch_id: int) -> str:
     return f"{path}/run={number}/batch_id={int(batch_id)}"
 
 
+def batch_before(spark: SparkSession, path: str, batch_id: int) -> str | None:
+    """The folder of the batch of the same run that came last before this one. That is the
+    number before, unless the output was begun late; only then are folders listed."""
+    run = getattr(batch_id, "run", None)
+    if batch_id > 0:
+        folder = batch_folder(spark, path, BatchId(batch_id - 1, run))
+        files, at = _place(spark, folder)
+        if files.exists(at):
+            return folder
+    own = f"{path}/run={run_number(spark, path, run)}"
+    files, at = _place(spark, own)
+    names = [f.getPath().getName() for f in files.listStatus(at)] if files.exists(at) else []
+    ids = [int(n.partition("=")[2]) for n in names if n.startswith("batch_id=")]
+    last = max((i for i in ids if i < batch_id), default=None)
+    return None if last is None else f"{own}/batch_id={last}"
+
+
 # ---- the log of a topic store
 
 
@@ -157,9 +174,14 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG).parquet(path)
 
 
-def is_committed(spark: SparkSession, path: str, number: int, batch_id: int) -> bool:
-    """Whether the log lists a batch. The condition is on folders, so only its files are read."""
+def is_committed(
+    spark: SparkSession, path: str, number: int, batch_id: int, topic: str | None = None
+) -> bool:
+    """Whether the log lists a batch, or its part of one topic. The condition is on folders,
+    so only their files are read."""
     own = (F.col("run") == number) & (F.col("batch_id") == int(batch_id))
+    if topic is not None:
+        own &= F.col("topic") == topic
     return not read_log(spark, path).filter(own).isEmpty()
 
 

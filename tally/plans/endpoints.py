@@ -47,11 +47,14 @@ class Files:
         )
 
     def outputs(self, spark: SparkSession, topic: str, checkpoint: str | None = None) -> DataFrame:
-        """What ``writer`` has left for a topic, as a stream of payloads with run and batch
-        of each. The store's log lists a batch once, so none comes twice."""
+        """What ``writer`` has left for a topic, as a stream of payloads with run, batch and
+        time of writing of each. The store's log lists a batch once, so none comes twice."""
         log = self._log(spark, [topic], checkpoint)
         return log.select(
-            F.col("value").cast("string").alias("value"), F.col("run").cast("string").alias("run"), "batch_id"
+            F.col("value").cast("string").alias("value"),
+            F.col("run").cast("string").alias("run"),
+            "batch_id",
+            F.col("_metadata.file_modification_time").alias("written"),
         )
 
     def publish(self, log: DataFrame) -> None:
@@ -97,13 +100,14 @@ class Kafka:
         return sources.kafka_stream(spark, options, lineage)
 
     def outputs(self, spark: SparkSession, topic: str, checkpoint: str | None = None) -> DataFrame:
-        """What ``writer`` has sent to a topic, with run and batch of each message."""
-        sent = self.stream(spark, [topic], lineage=["key"])
+        """What ``writer`` has sent to a topic, with run, batch and time of each message."""
+        sent = self.stream(spark, [topic], lineage=["key", "timestamp"])
         key = F.col("key").cast("string")
         return sent.select(
             "value",
             F.regexp_extract(key, "^(.*)/", 1).alias("run"),
             F.substring_index(key, "/", -1).cast("bigint").alias("batch_id"),
+            F.col("timestamp").alias("written"),
         )
 
     def publish(self, log: DataFrame) -> None:

@@ -90,9 +90,24 @@ def write_delimited(rows: DataFrame, path: str) -> None:
     ).csv(path)
 
 
+def as_log(reports_: DataFrame, to: str = "stream") -> DataFrame:
+    return encode(route(reports_, to=to), ["id", "datetime", "issue"], ["topic"])
+
+
 def report_log(spark: SparkSession, sf_dir: str, to: str = "stream") -> DataFrame:
     """All reports, tracked or not, as payloads with their topics."""
-    return encode(route(reports(spark, sf_dir), to=to), ["id", "datetime", "issue"], ["topic"])
+    return as_log(reports(spark, sf_dir), to)
+
+
+def in_time_order(reports_: DataFrame, parts: int) -> list[DataFrame]:
+    """Reports cut by their times into parts of equal length; no part is late for another."""
+    ts = F.unix_micros(F.col("datetime").try_cast("timestamp"))
+    first, last = reports_.agg(F.min(ts), F.max(ts)).first()
+    if first is None:
+        return [reports_]
+    step = (last - first) // parts + 1
+    part = F.floor((ts - F.lit(first)) / F.lit(step))
+    return [reports_.filter(part == k) for k in range(parts)]
 
 
 def mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:

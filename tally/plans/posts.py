@@ -12,7 +12,7 @@ from tally.functions import decode, polarity
 from tally.operators import count_by, document
 from tally.plans.endpoints import Documents, Endpoint
 from tally.schemas import POLARITIES, POSITIVE_CODE, POST_SENTIMENT, POST_TOPIC
-from tally.streaming import snapshot_sink, start
+from tally.streaming import observed, snapshot_sink, start
 
 SENTIMENTS = ("0", "1")
 
@@ -55,7 +55,7 @@ def start_posts(
             name="post-documents",
         ),
         start(
-            polarity_totals(posts, positive),
+            observed(polarity_totals(posts, positive), POLARITIES, "polarity"),
             f"{checkpoint}/totals",
             snapshot_sink(totals, POLARITIES, "polarity"),
             mode="complete",

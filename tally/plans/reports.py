@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tally.functions import decode, decode_checked, encode
-from tally.operators import quarantine, tracked, wanted
+from tally.functions import decode_checked, encode
+from tally.operators import count_by, quarantine, tracked, wanted
 from tally.plans.endpoints import Documents, Endpoint
 from tally.plans.publisher import REPORT_FIELDS
-from tally.schemas import ISSUES, REPORT, REPORT_ISSUE, REPUBLISH_TOPIC, TOTALS_TOPIC
-from tally.streaming import fan_out, running_totals, snapshot_sink, start
+from tally.schemas import ISSUES, REPORT, REPUBLISH_TOPIC, TOTALS_TOPIC
+from tally.streaming import count_ledger, fan_out, ledger_sink, start
+
+# Where a job keeps the ledger of its totals, below its checkpoint.
+LEDGER = "ledger"
 
 
 def topics_of(labels: Sequence[str], suffix: str = "") -> list[str]:
@@ -22,19 +25,23 @@ def topics_of(labels: Sequence[str], suffix: str = "") -> list[str]:
 
 
 def record_outputs(
-    documents, republish, rejected, lineage: Sequence[str] = (), labels: Sequence[str] = ISSUES
+    documents, republish, rejected, lineage: Sequence[str] = (), labels: Sequence[str] = ISSUES, totals=None
 ) -> dict:
     """Outputs of one decoded batch, for ``fan_out``: tracked records as documents and as
-    JSON payloads, and everything else with the reason for its rejection."""
+    JSON payloads, everything else with the reason for its rejection, and counts for
+    ``totals`` if that is given."""
 
     def records(batch: DataFrame) -> DataFrame:
         return tracked(batch, labels).select(*REPORT_FIELDS, *lineage)
 
-    return {
+    outputs = {
         "records": (records, documents),
         "republished": (lambda b: encode(records(b), REPORT_FIELDS), republish),
         "rejected": (lambda b: quarantine(b, labels), rejected),
     }
+    if totals is not None:
+        outputs["totals"] = (lambda b: count_by(tracked(b, labels), "issue"), totals)
+    return outputs
 
 
 def start_reports(
@@ -47,10 +54,9 @@ def start_reports(
     labels: Sequence[str] = ISSUES,
     once: bool = False,
 ) -> list[StreamingQuery]:
-    """Two queries over the topics of ``labels``.
-
-    The totals stay a query of their own: it parses only the category out of each payload,
-    which a shared, fully decoded batch would rule out.
+    """One query over the topics of ``labels``, which writes records and totals of the same
+    batches: the topics are read once, and after any failure the two agree once the batch
+    has been repeated. Totals are kept as a ledger below the checkpoint.
     """
     log = source.stream(spark, topics_of(labels), checkpoint)
     record_key, reject_key = documents.key(source.lineage), rejected.key(source.lineage)
@@ -63,17 +69,6 @@ def start_reports(
         rejected.writer(reject_key),
         record_key,
         labels,
+        ledger_sink(count_ledger(f"{checkpoint}/{LEDGER}", labels), out.writer(TOTALS_TOPIC), labels),
     )
-    totals = running_totals(decode(log, REPORT_ISSUE, filtered=True), labels)
-    return [
-        start(lean, f"{checkpoint}/records", fan_out(outputs), once=once, name="reports"),
-        start(
-            totals,
-            f"{checkpoint}/totals",
-            snapshot_sink(out.writer(TOTALS_TOPIC), labels),
-            mode="complete",
-            once=once,
-            state_width=len(labels),
-            name="report-totals",
-        ),
-    ]
+    return [start(lean, f"{checkpoint}/records", fan_out(outputs), once=once, name="reports")]

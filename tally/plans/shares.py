@@ -11,16 +11,29 @@ from tally.functions import decode_snapshots
 from tally.operators import share_of_total, snapshot_sums, zero_fill
 from tally.plans.endpoints import Endpoint
 from tally.schemas import ISSUES, TOTALS_TOPIC
-from tally.streaming import start
+from tally.streaming import observed, start
 
 Write = Callable[[DataFrame, int], None]
 
+# How long after a message its copy may come: a writer's restart, with much to spare.
+REPEATED_WITHIN = "1 day"
+
 
 def share_sink(write: Write, labels: Sequence[str] = ISSUES) -> Write:
     """Per-batch callback over sums per label: all labels, each with its share."""
     return lambda sums, batch_id: write(share_of_total(zero_fill(sums, labels)), batch_id)
 
 
+def once_each(messages: DataFrame, within: str = REPEATED_WITHIN) -> DataFrame:
+    """Messages without the copies that a writer sends when it runs a batch again.
+
+    A copy is known by run, batch and text. It follows soon after its first, so state is kept
+    for ``within`` of the newest time of writing, and no longer.
+    """
+    timed = messages.withWatermark("written", within)
+    return timed.dropDuplicatesWithinWatermark(["run", "batch_id", "value"])
+
+
 def start_shares(
     spark: SparkSession,
     source: Endpoint,
@@ -35,13 +48,12 @@ def start_shares(
     The snapshots are cumulative, so these shares weigh early records more than late ones.
     For the shares of the records themselves use ``share_of_total`` on the newest snapshot.
 
-    A writer that runs a batch again sends its message again; the copy is known by run, batch
-    and text and counts once. The state for that has a row per message.
+    A writer that runs a batch again sends its message again; ``once_each`` drops the copy.
     """
-    messages = source.outputs(spark, topic, checkpoint).dropDuplicates(["run", "batch_id", "value"])
+    messages = once_each(source.outputs(spark, topic, checkpoint))
     received = decode_snapshots(messages)
     return start(
-        snapshot_sums(received, labels),
+        observed(snapshot_sums(received, labels), labels),
         f"{checkpoint}/shares-{topic}",
         share_sink(write, labels),
         mode="complete",

@@ -12,10 +12,14 @@ from pyspark.sql.streaming import DataStreamWriter
 from tally.commits import BatchId, claim_run, commit, is_committed, open_log, run_number, run_of
 
 
-def _write(log: DataFrame, path: str, number: int, batch_id: int) -> None:
-    folder = f"{path}/run={number}/batch_id={batch_id}"
-    rows = log.select(F.col("value").cast("binary").alias("value"), "topic")
-    rows.write.mode("overwrite").partitionBy("topic").parquet(folder)
+def _write(log: DataFrame, path: str, number: int, batch_id: int, topic: str | None = None) -> None:
+    folder, value = f"{path}/run={number}/batch_id={batch_id}", F.col("value").cast("binary")
+    if topic is None:
+        rows = log.select(value.alias("value"), "topic").write.partitionBy("topic")
+    else:
+        # A run may have writers for several topics, which are written one by one.
+        folder, rows = f"{folder}/topic={topic}", log.select(value.alias("value")).write
+    rows.mode("overwrite").parquet(folder)
     commit(log.sparkSession, path, folder)
 
 
@@ -48,10 +52,12 @@ def topic_writer(path: str, topic: str | None = None) -> Callable[[DataFrame, in
         open_log(spark, path, write=True)
         number = run_number(spark, path, run)
         # Batches of a run come in order, so the log is asked once a start.
-        known = batch_id <= done[run] if run in done else is_committed(spark, path, number, batch_id)
+        if run in done:
+            known = batch_id <= done[run]
+        else:
+            known = is_committed(spark, path, number, batch_id, topic)
         if not known:
-            rows = log if topic is None else log.withColumn("topic", F.lit(topic))
-            _write(rows, path, number, int(batch_id))
+            _write(log, path, number, int(batch_id), topic)
         if run is not None:
             done[run] = int(batch_id)
 

@@ -11,7 +11,8 @@ log = logging.getLogger("tally")
 
 
 class ProgressLog(StreamingQueryListener):
-    """Log a line per batch. Register with ``spark.streams.addListener``."""
+    """Log a line per batch, with the totals that a query reports and the rows that came too
+    late for their windows. Register with ``spark.streams.addListener``."""
 
     def onQueryStarted(self, event) -> None:
         log.info("started %s", event.name or event.id)
@@ -23,6 +24,11 @@ class ProgressLog(StreamingQueryListener):
             "%s batch %d: %d rows, %.0f rows/s, %d state rows",
             p.name or p.id, p.batchId, p.numInputRows, p.processedRowsPerSecond or 0.0, state,
         )
+        late = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+        if late:
+            log.warning("%s batch %d: %d rows too late", p.name or p.id, p.batchId, late)
+        for name, values in (p.observedMetrics or {}).items():
+            log.info("%s batch %d: %s %s", p.name or p.id, p.batchId, name, values.asDict())
 
     def onQueryIdle(self, event) -> None:
         pass

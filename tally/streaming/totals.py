@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tally.functions import decode_snapshots, snapshot_json
+from tally.functions import decode_snapshots, quoted, snapshot_json
 from tally.operators import count_by, label_counts, tracked, window_rows
 from tally.schemas import ISSUES
 from tally.sinks import write_batch
@@ -27,6 +27,15 @@ def running_totals(
     return count_by(tracked(records, labels, column), column)
 
 
+def observed(
+    totals: DataFrame, labels: Sequence[str] = ISSUES, column: str = "issue", n: str = "n"
+) -> DataFrame:
+    """The totals, with each label's value reported in the query's progress, as ``totals``."""
+    label, value = quoted(column), quoted(n)
+    values = [F.coalesce(F.sum(F.when(label == F.lit(v), value)), F.lit(0)).alias(v) for v in labels]
+    return totals.observe("totals", *values)
+
+
 def snapshots(
     totals: DataFrame, labels: Sequence[str] = ISSUES, column: str = "issue", n: str = "n"
 ) -> DataFrame:

@@ -89,6 +89,14 @@ def test_an_attempt_that_ended_before_its_entry_is_replaced(spark, store, tmp_pa
     assert streamed(spark, store, tmp_path) == ["one"]
 
 
+def test_a_run_may_write_several_topics_one_by_one(spark, store):
+    for _ in range(2):
+        for topic in "AB":
+            topic_writer(store, topic)(messages(spark, [f"to {topic}"]).select("value"), BatchId(0, "r"))
+    assert texts(topic_table(spark, store, ["A", "B"])) == ["to A", "to B"]
+    assert [tuple(r) for r in topic_batches(spark, store, "B").collect()] == [("to B", 1, 0)]
+
+
 def test_more_batches_than_the_log_keeps_apart(spark, store, tmp_path):
     send = topic_writer(store)
     for k in range(23):
