@@ -31,6 +31,10 @@ LOG_VERSION = 1
 NO_RUN = 0
 
 
+# How many batch numbers are tried before folders are listed.
+NEAR = 8
+
+
 class BatchId(int):
     """The number of a batch, and the run that it belongs to."""
 
@@ -134,16 +138,14 @@ def batch_folder(spark: SparkSession, path: str, batch_id: int) -> str:
 
 
 def batch_before(spark: SparkSession, path: str, batch_id: int) -> str | None:
-    """The folder of the batch of the same run that came last before this one. That is the
-    number before, unless the output was begun late; only then are folders listed."""
-    run = getattr(batch_id, "run", None)
-    if batch_id > 0:
-        folder = batch_folder(spark, path, BatchId(batch_id - 1, run))
-        files, at = _place(spark, folder)
-        if files.exists(at):
-            return folder
-    own = f"{path}/run={run_number(spark, path, run)}"
+    """The folder of the batch of the same run that came last before this one. That is one
+    of the numbers just before, unless the output was begun late; only then are folders
+    listed."""
+    own = f"{path}/run={run_number(spark, path, getattr(batch_id, 'run', None))}"
     files, at = _place(spark, own)
+    for number in range(int(batch_id) - 1, max(int(batch_id) - NEAR, 0) - 1, -1):
+        if files.exists(_place(spark, f"{own}/batch_id={number}")[1]):
+            return f"{own}/batch_id={number}"
     names = [f.getPath().getName() for f in files.listStatus(at)] if files.exists(at) else []
     ids = [int(n.partition("=")[2]) for n in names if n.startswith("batch_id=")]
     last = max((i for i in ids if i < batch_id), default=None)

@@ -67,12 +67,13 @@ def decode_checked(log: DataFrame, schema: str, keep: Sequence[str] = ()) -> Dat
     )
     # As the content of an array, a text of one object makes an array of one. An object ends
     # with a brace, so nothing follows it where the text's first closing brace is its last
-    # character; only other texts are parsed for what follows.
-    trimmed = F.rtrim(text)
+    # character, and something does where the last one is none; only other texts are parsed
+    # for what follows.
+    trimmed = F.rtrim(text, F.lit(" \t\r\n"))
     single = F.instr(trimmed, "}") == F.length(trimmed)
     whole = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string, string>>")
-    more = F.ltrim(text).startswith("{") & (F.coalesce(F.size(whole), F.lit(0)) != 1)
-    rest = F.when(single, False).otherwise(more)
+    more = ~trimmed.endswith("}") | (F.coalesce(F.size(whole), F.lit(0)) != 1)
+    rest = F.when(single | ~F.ltrim(text).startswith("{"), False).otherwise(more)
     return (
         log.select(
             text.alias("raw"),

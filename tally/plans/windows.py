@@ -69,7 +69,7 @@ def start_windows(
     return start(
         window_rows(window_counts(log, labels, event_time, delay)),
         f"{checkpoint}/windows",
-        fan_out(outputs),
+        fan_out(outputs, skip_empty=True),
         mode="update",
         once=once,
         state_width=state_width,

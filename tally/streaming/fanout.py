@@ -31,15 +31,18 @@ def kept(batch: DataFrame) -> Iterator[DataFrame]:
             held.unpersist()
 
 
-def fan_out(outputs: dict[str, tuple[Shape, Write]]) -> Write:
+def fan_out(outputs: dict[str, tuple[Shape, Write]], skip_empty: bool = False) -> Write:
     """A per-batch callback that reads and decodes a batch once and writes every output.
 
     Streaming queries do not share a scan, so separate queries would each read the source
-    again.
+    again. With ``skip_empty`` a batch without rows writes nothing; a query with a watermark
+    has such batches whenever the watermark moves.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with kept(batch) as held:
+            if skip_empty and held.isEmpty():
+                return
             for shape, sink in outputs.values():
                 sink(shape(held), batch_id)
 
