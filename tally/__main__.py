@@ -66,7 +66,9 @@ def parser() -> argparse.ArgumentParser:
         sub = job(name, "delimited files to topics")
         sub.add_argument("input", help="delimited file or folder, with a header line")
         sub.add_argument("out", help="place of the topics")
-        sub.add_argument("--multiline", action="store_true", help="fields may hold line breaks")
+        sub.add_argument(
+            "--single-line", action="store_true", help="no field holds a line break; files are not looked through for that"
+        )
         if name == "publish-reports":
             sub.add_argument("--to", choices=("stream", "batch", "both"), default="both")
             sub.add_argument("--follow", action="store_true", help="go on as files arrive")
@@ -106,17 +108,20 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     queries = []
     if args.job.startswith("publish"):
         out = endpoint(args.out, args)
+        breaks = False if args.single_line else None
         if args.job == "publish-posts":
-            publisher.publish_posts(delimited_table(spark, args.input, multiline=args.multiline), out)
+            publisher.publish_posts(delimited_table(spark, args.input, multiline=breaks), out)
         elif args.follow:
-            rows = delimited_stream(spark, args.input, multiline=args.multiline)
+            rows = delimited_stream(
+                spark, args.input, multiline=not args.single_line, max_bytes=args.max_bytes
+            )
             queries = [
                 publisher.publish_reports_stream(
                     rows, out, args.checkpoint, args.labels, args.to, args.once
                 )
             ]
         else:
-            rows = delimited_table(spark, args.input, multiline=args.multiline)
+            rows = delimited_table(spark, args.input, multiline=breaks)
             publisher.publish_reports(rows, out, args.labels, args.to)
     elif args.job == "reports":
         queries = reports.start_reports(

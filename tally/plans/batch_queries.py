@@ -36,7 +36,7 @@ from tally.operators import (
 from tally.plans import inputs
 from tally.plans.inputs import TRACKED, UNSEEN, UNTRACKED
 from tally.plans.posts import SENTIMENTS, polarity_totals
-from tally.schemas import POST, REPORT, REPORT_ISSUE
+from tally.schemas import POST, POST_COLUMNS, REPORT, REPORT_ISSUE
 from tally.session import scratch
 from tally.sinks import publish
 from tally.sources import delimited_table, topic_table
@@ -261,6 +261,15 @@ def csv_scan_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return post_records(delimited_table(spark, path, multiline=True))
 
 
+def csv_scan_as_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with and without line breaks in their fields, each read as it needs."""
+    path, posts = scratch(spark, "csv"), inputs.post_rows(spark, sf_dir)
+    broken = F.col(POST_COLUMNS["text"]).contains("\n")
+    inputs.write_delimited(posts.filter(broken), f"{path}/a")
+    inputs.write_delimited(posts.filter(~broken), f"{path}/b")
+    return post_records(delimited_table(spark, [f"{path}/a", f"{path}/b"], multiline=None))
+
+
 def multi_source_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "topics")
     publish(inputs.report_log(spark, sf_dir), path)
@@ -402,6 +411,7 @@ QUERIES = {
     ),
     "csv_scan": (csv_scan, f"{REPORTS_SQL} WHERE event_type IN {TRACKED_SQL}"),
     "csv_scan_multiline": (csv_scan_multiline, POSTS_SQL),
+    "csv_scan_as_needed": (csv_scan_as_needed, POSTS_SQL),
     "multi_source_union": (
         multi_source_union,
         f"""

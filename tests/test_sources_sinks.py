@@ -31,6 +31,7 @@ from tally.sources import (
     topic_stream,
     topic_table,
 )
+from tally.sources.delimited import split_or_whole
 from tally.streaming import finish, start
 
 POSTS_FILE = """ItemID,Sentiment,SentimentText
@@ -63,6 +64,30 @@ def test_delimited_file_edge_cases(spark, tmp_path):
     assert [tuple(v or None for v in r) for r in plain] == got
 
 
+def test_files_are_read_whole_where_fields_hold_line_breaks(spark, tmp_path):
+    head = "ItemID,Sentiment,SentimentText\n"
+    texts = {
+        "a b": head + '1,0,"hello\nworld, #tag"\n2,1,"one ""q"" line"\n',
+        "plain": head + '3,1,x y\n4,0,"a, b"\n',
+        "long": head + '5,1,"x\ny,z,w\n\nend"\n6,0,last\n',
+        "odd": head + '7,0,5" pipe\n8,1,next\n',
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_text(text)
+    got = post_records(delimited_table(spark, str(tmp_path), multiline=None)).collect()
+    assert sorted((r.id, r.sentiment, r.hashtag) for r in got) == [
+        ("1", "0", "#tag"), ("2", "1", "line"), ("3", "1", "y"), ("4", "0", "b"),
+        ("5", "1", "x\ny,z,w\n\nend"), ("6", "0", "last"), ("7", "0", "pipe"), ("8", "1", "next"),
+    ]
+    split, whole = split_or_whole(spark, str(tmp_path))
+    assert [[f.rsplit("/", 1)[1] for f in files] for files in (split, whole)] == [
+        ["plain.csv"], ["a b.csv", "long.csv", "odd.csv"],
+    ]
+    assert delimited_table(spark, str(tmp_path / "plain.csv"), multiline=None).count() == 2
+    with pytest.raises(ValueError, match="over 10 bytes"):
+        delimited_table(spark, str(tmp_path), multiline=None, most_bytes=10)
+
+
 def test_columns_go_by_header_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text(
         "Issue Reported,Address,Traffic Report ID,Published Date\nCOLLISION,\"x, y\",7,d\n"
