@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tally.llm import words as w
 from tally.llm.components import components
-from tally.llm.storage import cut, mapped
+from tally.llm.storage import cut, discard, mapped, table
 
 WORDS = 5
 # Two sets link when 100 * intersection >= PERCENT * union.
@@ -172,7 +172,15 @@ def _neighbours(length: int, percent: int):
 
 def _choose(percent: int):
     """Cost-based allocation of one set in one band: which of its signatures it looks up
-    (``asks``), whether with the neighbourhood (``deep``), and what that costs (``price``)."""
+    (``asks``), whether with the neighbourhood (``deep``), and what that costs (``price``);
+    and which can be met by another set's looking up (``offers``).
+
+    Members have one order in all sets, by cost and then by signature. Of two linked sets
+    the one that is not larger lacks few of the other's members, and the other few of its
+    own: in that order the first members of the one, which it looks up, and the first of the
+    other, which alone it offers, have one in common. So a set with rare members of its own
+    is not met through a passage that many sets hold.
+    """
 
     def run(group: pa.Table) -> pa.Table:
         segment = group.column("segment").to_numpy()
@@ -191,7 +199,10 @@ def _choose(percent: int):
         level = np.bincount(order % len(names), minlength=len(names))
         # Or single members: all but ``most_lacking`` of them are in the partner.
         members = np.flatnonzero(kind == MEMBER)
-        members = members[np.argsort(cost[members], kind="stable")[: most_lacking(n, percent) + 1]]
+        ordered = members[np.lexsort((group.column("signature").to_numpy()[members], cost[members]))]
+        members = ordered[: most_lacking(n, percent) + 1]
+        offers = kind != MEMBER
+        offers[ordered[: n - -(-percent * n // 100) + 1]] = True
         by_segment, by_member = float(steps[order].sum()), float(cost[members].sum())
         if by_member <= by_segment:
             asks = np.zeros(len(kind), bool)
@@ -201,8 +212,10 @@ def _choose(percent: int):
         return (
             group.select(["set", "n", "component", "band", "kind", "signature"])
             .append_column("asks", pa.array(asks))
+            .append_column("offers", pa.array(offers))
             .append_column("deep", pa.array(level[at] == 2))
             .append_column("price", pa.array(np.full(len(kind), min(by_segment, by_member))))
+            .filter(pa.array(asks | offers))
         )
 
     return run
@@ -226,7 +239,7 @@ def _lists(described: DataFrame) -> DataFrame:
     """Sets under each signature that two or more of them keep: (signature, set, n)."""
     rows = described.filter(F.col("doc_id").isNotNull()).select("set", "n", F.explode("signatures").alias("signature"))
     again = rows.groupBy("signature").agg(F.count("*").alias("_times")).filter(F.col("_times") > 1)
-    return cut(rows.join(again.select("signature"), "signature").distinct())
+    return table(rows.join(again.select("signature"), "signature").distinct())
 
 
 def similar_sets(
@@ -314,7 +327,7 @@ def _nodes(
     the set's component (_least) where that holds more than this row. And links between
     sets (one, other): with ``every_link`` all, else as many as give the components."""
     source = docs.select(*_columns(id_col, text_col))
-    described = cut(
+    described = table(
         mapped(
             source.select("doc_id", "_text", "digest"),
             _describe(length, percent),
@@ -343,12 +356,15 @@ def _nodes(
         return found.select("set", "_text")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = cut(pairs.distinct())
+        pairs = table(pairs.distinct())
         wanted = pairs.select(F.explode(F.array("one", "other")).alias("set")).distinct()
         text = texts(wanted)
         left = pairs.join(text.select(F.col("set").alias("one"), F.col("_text").alias("_left")), "one")
         both = left.join(text.select(F.col("set").alias("other"), F.col("_text").alias("_right")), "other")
-        return cut(mapped(both.select("one", "other", "_left", "_right"), _verify(length, percent), "one bigint, other bigint").distinct())
+        linked = mapped(both.select("one", "other", "_left", "_right"), _verify(length, percent), "one bigint, other bigint")
+        linked = cut(linked.distinct())
+        discard(pairs)
+        return linked
 
     def near(a, b):
         return (100 * F.least(a, b) >= percent * F.greatest(a, b))
@@ -357,7 +373,7 @@ def _nodes(
     # of their own, shares more of its segments than any of them.
     degree = members.groupBy("set").agg(F.count("*").alias("_degree"))
     lead = members.join(degree, "set").groupBy("signature").agg(F.max(F.struct("_degree", "set", "n")).alias("lead"))
-    lead = cut(lead)
+    lead = table(lead)
     led = members.join(lead, "signature").filter(F.col("set") != F.col("lead.set"))
     links = verified(
         led.filter(near(F.col("n"), F.col("lead.n"))).select(
@@ -378,7 +394,7 @@ def _nodes(
     open_lists = state.filter(F.col("_low") != F.col("_high")).join(
         lead.select("signature", F.col("lead.set").alias("_lead")), "signature"
     ).select("signature", "_lead", "_size")
-    unsettled = cut(placed.join(open_lists, "signature"))
+    unsettled = table(placed.join(open_lists, "signature"))
     short = unsettled.filter((F.col("_size") <= SHORT_LIST) & (F.col("set") != F.col("_lead")))
     a, b = short.alias("a"), short.alias("b")
     pairs = a.join(b, F.col("a.signature") == F.col("b.signature")).filter(
@@ -386,25 +402,28 @@ def _nodes(
     ).select(F.col("a.set").alias("one"), F.col("b.set").alias("other"))
 
     long = unsettled.filter(F.col("_size") > SHORT_LIST).select("set", "n", "component").distinct()
-    long = cut(long)
+    long = table(long)
+    done = [members, lead, unsettled, long]
     if not long.isEmpty():
         index = mapped(texts(long.select("set")), _neighbours(length, percent), "set bigint, band int, segment bigint, kind int, signature bigint")
-        index = cut(index.join(long, "set"))
+        index = table(index.join(long, "set"))
         # Looking a segment up whole meets whole ones; its neighbours meet whole ones, and
         # with them it also meets the neighbours of others. Members meet members.
         cost = index.groupBy("signature").agg(F.sum((F.col("kind") != LESS).cast("long")).alias("cost"))
         priced = index.join(cost, "signature").select(
             "set", "n", "component", "band", "segment", "kind", "signature", "cost"
         )
-        asked = cut(
+        asked = table(
             priced.groupBy("set", "band").applyInArrow(
                 _choose(percent),
-                "set bigint, n bigint, component bigint, band int, kind int, signature bigint, asks boolean, deep boolean, price double",
+                "set bigint, n bigint, component bigint, band int, kind int, signature bigint, asks boolean, offers boolean, deep boolean, price double",
             )
         )
+        discard(index)
+        done.append(asked)
         # One of two sets looks the other up: the smaller, or of equal ones that with the
         # lower price. A set that differs much from all others in its lists then meets none.
-        p, q = asked.filter("asks").alias("p"), asked.alias("q")
+        p, q = asked.filter("asks").alias("p"), asked.filter("offers").alias("q")
         meets = (F.col("q.kind") != LESS) | (F.col("p.deep") & (F.col("p.kind") == WHOLE))
         turn = F.struct("p.n", "p.price", "p.set") < F.struct("q.n", "q.price", "q.set")
         on = (F.col("p.signature") == F.col("q.signature")) & (F.col("p.band") == F.col("q.band"))
@@ -413,6 +432,7 @@ def _nodes(
         ).select(F.least("p.set", "q.set").alias("one"), F.greatest("p.set", "q.set").alias("other"))
         pairs = pairs.unionByName(more)
     pairs = cut(pairs.distinct())
+    discard(*done)
     if not pairs.isEmpty():
         links = cut(links.unionByName(verified(pairs)).distinct())
         found = components(links, "one", "other")
