@@ -337,23 +337,49 @@ def test_decontaminate_by_row(spark):
         assert got == sorted(key((i, *hit(t))) for i, t in rows)
 
 
-def test_bpe(spark, docs):
+def test_bpe(spark, docs, monkeypatch):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(bpe._vocabulary(None))
-    encoder = bpe.load(bpe._vocabulary(None))
+    encoder = bpe.WordBpe(bpe._vocabulary(None))
     r = random.Random(5)
-    texts = [t or "" for _, t in AWKWARD] + ["ΟΔΟΣ", "İ", "it's", "\x85\x1c", "é", "a" * 3000]
-    texts += ["".join(chr(r.choice([r.randrange(32, 127), r.randrange(1, 0x3000)])) for _ in range(40)) for _ in range(300)]
-    for text in texts:
-        ids = library.encode(text, add_special_tokens=False).ids
-        mine = encoder.encode(text)
-        assert np.frombuffer(mine, "<u4").tolist() == ids
-        assert encoder.decode(mine) == library.decode(ids, skip_special_tokens=False)
+    texts = [t or "" for _, t in AWKWARD] + ["ΟΔΟΣ", "İ", "Ⱥ Ⱦ ǅ ª² ½ʰ", "it's we'll 'sx", "\x85\x1c\x0b\xa0", "é", "a" * 3000]
+    texts += ["q\u0301\u07fd\u0334", "\U00011935\U00011930 \U00011938", "\u1c89\ua7ce\U00010d50", "a\u088fb\U00012475"]
+    kinds = [(32, 127), (1, 0x250), (1, 0x3000), (0x300, 0xD800), (0x10000, 0x33480)]
+    texts += ["".join(chr(r.randrange(*r.choice(kinds))) for _ in range(40)) for _ in range(600)]
+    # Code points one by one (the large uniform blocks left out), and marks next to others.
+    points = [c for c in range(0x1F000) if not (0x3400 <= c < 0x9F00 or 0xAC00 <= c < 0xF900 or 0x17000 <= c < 0x18700)]
+    each = ["".join(f"a{chr(c)}b {chr(c)} " for c in points[i : i + 400]) for i in range(0, len(points), 400)]
+    each += ["".join(f"q\u0301{chr(c)}\u0334 " for c in points[i : i + 400]) for i in range(0, len(points), 400)]
+    for most, texts in ((bpe.MEMO_WORDS, texts + each), (50, texts)):
+        monkeypatch.setattr(bpe, "MEMO_WORDS", most)
+        mine = [encoder.encode(text) for text in texts]
+        for text, ids, back in zip(texts, mine, encoder.decode(mine), strict=True):
+            expected = library.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids, "<u4").tolist() == expected, ascii(text)
+            assert back == library.decode(expected, skip_special_tokens=False)
+        encoder.memo, encoder.older = {}, {}
+    monkeypatch.setattr(bpe, "DECODED", 100)
+    assert list(encoder.decode(mine)) == [library.decode(np.frombuffer(x, "<u4").tolist(), skip_special_tokens=False) for x in mine]
     assert bpe.round_trip(docs).count() == len(AWKWARD)
     assert bpe.decode(bpe.encode(docs)).count() == len(AWKWARD)
 
 
+def test_bpe_cuts():
+    """Merging whole words gives what their fragments give, and no token spans a cut."""
+    encoder = bpe.WordBpe(bpe._vocabulary(None))
+    r = random.Random(9)
+    words = ["".join(r.choice("abcdexyzqjkv019#é日") for _ in range(r.randint(1, 300))).encode() for _ in range(500)]
+    n_cut = 0
+    for word in words:
+        parts = encoder.fragments(word)
+        assert b"".join(parts) == word
+        n_cut += len(parts) > 1
+        apart = [x for p in parts[:-1] for x in encoder._merge(p, False)] + encoder._merge(parts[-1], True)
+        assert apart == encoder._merge(word, True)
+    assert n_cut > 100
+
+
 def test_urls(spark):
     link = '<link href="https://a.example.org/es/1" rel="canonical">'
     rows = [
