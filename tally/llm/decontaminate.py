@@ -15,97 +15,123 @@ from tally.llm.storage import mapped
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
-SEED_WORDS = 4
 
 MATCH = "struct<item_id:bigint,doc_word:int,item_word:int,n_words:int>"
 RESULT = f"doc_id bigint, n_words bigint, matches array<{MATCH}>"
 
 
-def _keys(hashes: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Runs of ``length`` word values as byte strings, which sort as the runs do."""
-    rows = hashes[starts[:, None] + np.arange(length)].astype(">u8")
-    return np.ascontiguousarray(rows).view(f"S{8 * length}").ravel()
+def _left(first: np.ndarray) -> np.ndarray:
+    """Words from each one to the end of its text, itself included."""
+    return np.repeat(first[1:], np.diff(first)) - np.arange(first[-1] if len(first) else 0)
+
+
+class SuffixArray:
+    """All suffixes of a shard of texts, in the order of their words; each ends with its text.
+
+    Words go by their 64-bit values. Suffixes are sorted by their first word, then those that
+    are still equal by the rank of what follows, to 2, 4, 8, ... words (Larsson and Sadakane).
+    """
+
+    def __init__(self, hashes: np.ndarray, first: np.ndarray):
+        self.hashes, self.left = hashes, _left(first)
+        n = len(hashes)
+        order = np.argsort(hashes, kind="stable")
+        same = hashes[order[1:]] == hashes[order[:-1]]
+        rank = np.empty(n, np.int64)
+        places, active, reach = order, np.arange(n), 1
+        while len(active):
+            head = active.copy()
+            head[1:][same] = 0
+            rank[places] = np.maximum.accumulate(head)
+            still = np.append(same, False) | np.append(False, same)
+            active, places = active[still], places[still]
+            if not len(active) or reach >= self.left[places].max():
+                break
+            after = np.where(self.left[places] > reach, rank[np.minimum(places + reach, n - 1)] + 1, 0)
+            step = rank[places] * (n + 1) + after
+            inner = np.argsort(step, kind="stable")
+            places, step = places[inner], step[inner]
+            order[active] = places
+            same = step[1:] == step[:-1]
+            reach *= 2
+        self.order, self.firsts = order, hashes[order]
+
+    def _bound(self, low, high, word, depth: int, over: bool) -> np.ndarray:
+        """Where ``word`` belongs among the words ``depth`` after suffixes ``low`` to ``high``,
+        after equal ones if ``over``. A suffix that has ended comes first."""
+        low, high = low.copy(), high.copy()
+        some = np.flatnonzero(low < high)
+        while len(some):
+            mid = (low[some] + high[some]) // 2
+            at = self.order[mid]
+            value = self.hashes[np.minimum(at + depth, len(self.hashes) - 1)]
+            less = (value <= word[some]) if over else (value < word[some])
+            less |= self.left[at] <= depth
+            low[some[less]] = mid[less] + 1
+            high[some[~less]] = mid[~less]
+            some = some[low[some] < high[some]]
+        return low
+
+    def ranges(self, words: np.ndarray, starts: np.ndarray, need: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The suffixes that begin with the ``need`` words at each of ``starts``, by binary
+        search, a word at a time, within those that begin with the words before."""
+        low = np.searchsorted(self.firsts, words[starts], side="left")
+        high = np.searchsorted(self.firsts, words[starts], side="right")
+        for depth in range(1, int(need.max(initial=0))):
+            some = np.flatnonzero((low < high) & (need > depth))
+            if not len(some):
+                break
+            word = words[starts[some] + depth]
+            first = self._bound(low[some], high[some], word, depth, over=False)
+            high[some] = self._bound(first, high[some], word, depth, over=True)
+            low[some] = first
+        return low, np.maximum(low, high)
 
 
 class Benchmark:
-    """Every suffix of a block of test items, cut to one window, sorted by length."""
+    """The suffixes of a block of test items that can begin a match."""
 
     def __init__(self, items: list[tuple[int, str]], window: int):
         column = pa.array([t for _, t in items], pa.large_string())
         data, offsets = w.buffers(column)
         found = w.words_of(data, offsets, w.NOT_ALPHANUMERIC)
-        hashes, sizes = found.hashes(fold=True), np.diff(found.first)
-        self.lengths: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        self.seeds: dict[int, np.ndarray] = {}
-        ids = np.array([i for i, _ in items], np.int64)
-        for length in np.unique(np.minimum(sizes, window)):
-            if not length:
-                continue
-            whole = sizes == length if length < window else sizes >= window
-            at = [
-                np.arange(found.first[i], found.first[i + 1] - length + 1)
-                for i in np.flatnonzero(whole)
-            ]
-            owner = np.repeat(np.flatnonzero(whole), [len(x) for x in at])
-            at = np.concatenate(at)
-            keys = _keys(hashes, at, length)
-            order = np.argsort(keys, kind="stable")
-            self.lengths[int(length)] = (
-                keys[order],
-                ids[owner[order]],
-                (at - found.first[owner])[order],
-            )
-            seed = min(int(length), SEED_WORDS)
-            have = self.seeds.get(seed, np.zeros(0, np.uint64))
-            seeds = w.grams(hashes, seed)[at]
-            self.seeds[seed] = np.union1d(have, seeds)
-
-    def matches(self, hashes: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(word of the shard, item id, word of the item, length) of every shared window.
-
-        The shard's suffix array holds the suffixes that begin like some window, in the order
-        of their words; each window is looked up in it by binary search.
+        self.hashes, self.left = found.hashes(fold=True), _left(found.first)
+        sizes = np.diff(found.first)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        self.place = np.arange(len(owner)) - found.first[owner]
+        self.item = np.array([i for i, _ in items], np.int64)[owner]
+        # A match has this many words at least: a window, or a whole item of fewer.
+        need = np.minimum(sizes, window)[owner]
+        self.starts = np.flatnonzero(self.left >= need)
+        self.need = need[self.starts]
+
+    def matches(self, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Longest matches in a shard: (word of the shard, item id, word of the item, length).
+
+        Every test suffix is looked up in the shard's suffix array. Of the places found those
+        count that no match goes on to from the word before, and each is followed to its end.
         """
-        found: list[tuple[np.ndarray, ...]] = []
-        for seed, seeds in self.seeds.items():
-            grams = w.grams(hashes, seed)
-            if not len(grams):
-                continue
-            slot = np.minimum(np.searchsorted(seeds, grams), len(seeds) - 1)
-            suffixes = np.flatnonzero(seeds[slot] == grams)
-            for length, (keys, items, places) in self.lengths.items():
-                if min(length, SEED_WORDS) != seed:
-                    continue
-                at = suffixes[suffixes + length <= len(hashes)]
-                at = at[text_of[at] == text_of[at + length - 1]]
-                if not len(at):
-                    continue
-                shard = _keys(hashes, at, length)
-                order = np.argsort(shard, kind="stable")
-                shard, at = shard[order], at[order]
-                low = np.searchsorted(shard, keys, side="left")
-                count = np.searchsorted(shard, keys, side="right") - low
-                which = np.repeat(np.arange(len(keys)), count)
-                if len(which):
-                    step = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-                    size = np.full(len(which), length)
-                    found.append((at[low[which] + step], items[which], places[which], size))
-        if not found:
+        if not len(hashes) or not len(self.starts):
             return (np.zeros(0, np.int64),) * 4
-        return tuple(np.concatenate(x) for x in zip(*found))
-
-
-def longest(at, items, places, sizes) -> tuple[np.ndarray, ...]:
-    """Windows that continue each other in text and item, joined into longest matches."""
-    if not len(at):
-        return at, items, places, sizes
-    order = np.lexsort((at, at - places, items))
-    at, items, places, sizes = at[order], items[order], places[order], sizes[order]
-    new = np.ones(len(at), bool)
-    new[1:] = (items[1:] != items[:-1]) | (at[1:] != at[:-1] + 1) | (places[1:] != places[:-1] + 1)
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1
-    return at[first], items[first], places[first], at[last] - at[first] + sizes[last]
+        shard = SuffixArray(hashes, first)
+        low, high = shard.ranges(self.hashes, self.starts, self.need)
+        count = high - low
+        which = np.repeat(np.arange(len(count)), count)
+        step = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
+        at, test = shard.order[low[which] + step], self.starts[which]
+        begins = np.zeros(len(hashes), bool)
+        begins[first[:-1][np.diff(first) > 0]] = True
+        new = begins[at] | (self.place[test] == 0) | (hashes[at - 1] != self.hashes[test - 1])
+        at, test, size = at[new], test[new], self.need[which[new]]
+        room = np.minimum(shard.left[at], self.left[test])
+        some = np.flatnonzero(size < room)
+        while len(some):
+            some = some[hashes[at[some] + size[some]] == self.hashes[test[some] + size[some]]]
+            size[some] += 1
+            some = some[size[some] < room[some]]
+        order = np.lexsort((at, at - self.place[test], self.item[test]))
+        at, test = at[order], test[order]
+        return at, self.item[test], self.place[test], size[order]
 
 
 def _searcher(items: list[tuple[int, str]], window: int):
@@ -115,7 +141,7 @@ def _searcher(items: list[tuple[int, str]], window: int):
             counts, rows = [], []
             for _, _, shard in w.each_run(batch.column(1), w.NOT_ALPHANUMERIC):
                 text_of = shard.text_of()
-                hits = longest(*benchmark.matches(shard.hashes(fold=True), text_of))
+                hits = benchmark.matches(shard.hashes(fold=True), shard.first)
                 counts.append(np.diff(shard.first))
                 lists: list[list] = [[] for _ in range(len(shard.first) - 1)]
                 for at, item, place, size in zip(*(x.tolist() for x in hits)):
@@ -165,8 +191,8 @@ def find_matches(
     is at least ``window`` words long, or a whole item of fewer words. Returns one row per
     input row: doc_id, n_words, matches (item_id, first word in document and item, length).
 
-    Each task sorts the suffixes of its shard of documents and looks every test suffix up by
-    binary search. The benchmark goes to all tasks in blocks of at most ``block_bytes`` of
+    Each task builds the suffix arrays of its shards of documents, looks every test suffix up
+    by binary search, and follows what it finds to the end. The benchmark goes to all tasks in blocks of at most ``block_bytes`` of
     text; a larger benchmark takes several passes over the documents, whose matches are then
     put together by text. A match over 64-bit word values stands for one over words.
 
@@ -289,7 +315,7 @@ def decontaminate(
             clean = np.ones(batch.num_rows, bool)
             for i, _, shard in w.each_run(batch.column(place), w.NOT_ALPHANUMERIC):
                 text_of = shard.text_of()
-                at, _, _, size = longest(*index.matches(shard.hashes(fold=True), text_of))
+                at, _, _, size = index.matches(shard.hashes(fold=True), shard.first)
                 hit = np.zeros(len(shard.starts) + 1, np.int64)
                 np.add.at(hit, at, 1)
                 np.add.at(hit, at + size, -1)

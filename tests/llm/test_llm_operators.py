@@ -321,6 +321,41 @@ def test_decontaminate(spark, docs):
         assert {r.doc_id for r in left.collect()} == {i for i, _ in AWKWARD} - {10, 11, 12}
 
 
+def test_training_suffix_arrays():
+    """Suffixes in order, and longest matches of every item against all pairs of places."""
+    r = random.Random(3)
+    for _ in range(60):
+        letters = r.choice(["ab", "abcdef"])
+        texts, items = ([[r.choice(letters) for _ in range(r.choice([0, 1, 3, 30]))] for _ in range(5)] for _ in "xy")
+        value = {c: np.uint64(r.getrandbits(64)) for c in letters}
+        hashes = np.array([value[c] for t in texts for c in t], np.uint64)
+        first = np.cumsum([0, *map(len, texts)])
+        array = decontaminate.SuffixArray(hashes, first)
+        whole = [[value[c] for c in t[k:]] for t in texts for k in range(len(t))]
+        ordered = [whole[i] for i in array.order]
+        assert ordered == sorted(whole) and sorted(array.order) == list(range(len(whole)))
+        want = set()
+        for number, item in enumerate(items):
+            least = min(4, len(item))
+            for text, offset in zip(texts, first.tolist()):
+                for i in range(len(text)):
+                    for j in range(len(item)):
+                        if i and j and text[i - 1] == item[j - 1]:
+                            continue
+                        size = 0
+                        while i + size < len(text) and j + size < len(item) and text[i + size] == item[j + size]:
+                            size += 1
+                        if size >= least:
+                            want.add((offset + i, number, j, size))
+        tests = decontaminate.Benchmark([(k, " ".join(x)) for k, x in enumerate(items)], 4)
+        folded = tests.hashes
+        at = np.cumsum([0, *map(len, items)])
+        known = {c: folded[at[k] + j] for k, x in enumerate(items) for j, c in enumerate(x)}
+        shard = np.array([known.get(c, 0) for t in texts for c in t], np.uint64)
+        found = list(zip(*(x.tolist() for x in tests.matches(shard, first))))
+        assert len(found) == len(set(found)) and set(found) == want
+
+
 def test_decontaminate_by_row(spark):
     """Rows of null, shared and repeated ids fare the same whatever the size of the blocks."""
     dirty = "before " + PASSAGE
@@ -397,6 +432,78 @@ def test_urls(spark):
     assert got[7][2:] == (None, "allow")
 
 
+def test_urls_by_brute_force(spark):
+    """Chains of redirects and canonical links whose rules disagree, against a plain search."""
+    r = random.Random(11)
+    hosts = ["a.org", "example.org", "x.example.org", "s.com", "p.net", "q.net", "other.io", "myorg", "n.example.org"]
+    paths = ["/es/1", "/en/1", "/en/2", "/fr/x", "/de/y", "/p", "/p/1", "/p/2", "/", ""]
+    ruled = [f"http://{h}{p}" for h in hosts for p in paths]
+    others = [f"http://p{k}.net/a" for k in range(150)]
+    extra = ["?utm_source=z", "#top", "?ref=1&k=2", "?k=2", "", "/"]
+    rows = []
+    for i in range(160):
+        url = r.choice(r.choice([ruled, others, others])) + r.choice(extra)
+        if r.random() < 0.2:
+            url = url.replace("://", "://www.")
+        kind, target = r.random(), r.choice(r.choice([ruled, others, others]))
+        html = None
+        if kind < 0.25:
+            html = f"<p><link rel='canonical' href='{target}'>"
+        elif kind < 0.45:
+            html = f'<META http-equiv=refresh content="0; url={target}">'
+        rows.append((i, url, html, "clash", "clash"))
+    rows += [(200, None, None, "", ""), (201, "nothing", "", "", ""), (202, "http://p.net/" + "z" * 100_000, None, "", ""), rows[0]]
+
+    def split(url):
+        rest = url.partition("://")[2] if url else ""
+        m = re.match(r"([^/?#]*)([^?#]*)(?:\?([^#]*))?", rest)
+        return m[1].lower(), m[2], m[3] or ""
+
+    def address(url):
+        host, path, query = split(url)
+        kept = [x for x in query.split("&") if x and not re.match(r"(utm_[a-z]+|ref)=", x)]
+        return "://" + host.removeprefix("www.") + path.removesuffix("/") + ("?" + "&".join(kept) if kept else "")
+
+    def rule(url):
+        host, path, _ = split(url)
+        fits = [
+            (len(h + p), verdict == "allow", h + p, verdict) for verdict, h, p in urls.RULES
+            if (host == h or host.endswith("." + h)) and path.startswith(p)
+        ]
+        return max(fits)[2:] if fits else (None, None)
+
+    near = collections.defaultdict(set)
+
+    def link(a, b):
+        if b != "://":
+            near[a].add(b), near[b].add(a)
+
+    for _, url, html, *_ in rows:
+        if url:
+            link(url, address(url))
+            target = re.search(r"(?:href='|url=)([^'\"]*)", html or "")
+            if target:
+                link(url, target[1]), link(url, address(target[1])), link(target[1], address(target[1]))
+    changed = 0
+    want = []
+    for page, url, *_ in rows:
+        seen, todo = {url}, [url]
+        while todo:
+            for other in near[todo.pop()] - seen:
+                seen.add(other)
+                todo.append(other)
+        own, verdict = rule(url)
+        if verdict is None:
+            around = {rule(u)[1] for u in seen if u}
+            verdict = "block" if "block" in around and "allow" not in around else "allow"
+            changed += verdict == "block"
+        want.append((page, *split(url)[:2], own or "", verdict))
+    found = urls.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string, html string, node string, host string"))
+    got = [(x.page_id, x.host, x.path, x.rule or "", x.verdict) for x in found.collect()]
+    assert sorted(got) == sorted(want)
+    assert changed > 5
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, 101), (101, 101), (None, 3)] + [(200, 200 + i) for i in range(1, 60)]
     found = components.components(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect()
