@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tally.llm.storage import cut
@@ -72,11 +71,12 @@ def exact_groups(
             "doc_id", "_sha", "_bytes", "_size", "_keep",
             F.col("_next").alias("_group"),
             F.when(F.col("_bytes") > FIRST_DIGIT, F.col("_text")).alias("_text"),
+            F.monotonically_increasing_id().alias("_tag"),
         )
     )
     seen = FIRST_DIGIT
     while True:
-        done.append(left.filter(F.col("_bytes") <= seen).select("doc_id", "_sha", "_group", "_size", "_keep", F.lit(seen).alias("_seen")))
+        done.append(left.filter(F.col("_bytes") <= seen).select("doc_id", "_sha", "_group", "_size", "_keep", "_tag", F.lit(seen).alias("_seen")))
         rows = left.filter(F.col("_bytes") > seen).drop("_size", "_keep")
         if rows.isEmpty():
             break
@@ -85,7 +85,7 @@ def exact_groups(
         seen *= GROWTH
         left = cut(
             _members(rows, digit, keys, groups, "left").select(
-                "doc_id", "_sha", "_size", "_keep",
+                "doc_id", "_sha", "_size", "_keep", "_tag",
                 F.when(F.col("_size").isNotNull(), F.col("_bytes")).otherwise(0).alias("_bytes"),
                 F.col("_next").alias("_group"),
                 F.when(F.col("_size").isNotNull() & (F.col("_bytes") > seen), F.col("_text")).alias("_text"),
@@ -95,17 +95,17 @@ def exact_groups(
         left = left.filter(F.col("_size").isNotNull())
 
     grouped = reduce(DataFrame.unionByName, done)
-    repeat = F.row_number().over(W.partitionBy("_seen", "_group", "doc_id").orderBy("_sha"))
+    # Of rows that hold a group's largest id the one of least tag stays. Tags are written in the
+    # table, and their least combines within tasks, so any number of such rows may repeat.
+    is_last = F.col("doc_id").eqNullSafe(F.col("_keep"))
+    least = grouped.filter(is_last).groupBy("_seen", "_group").agg(F.min("_tag").alias("_least"))
+    last = grouped.filter(is_last).join(least.select("_least"), F.col("_tag") == F.col("_least"), "left")
+    told = last.withColumn("kept", F.col("_least").isNotNull()).drop("_least").unionByName(
+        grouped.filter(~is_last).withColumn("kept", F.lit(False))
+    )
     shape = [F.lower(F.hex("_sha")).alias("text_sha256")]
     return (
-        grouped.withColumn("_repeat", repeat)
-        .select(
-            "doc_id",
-            F.col("_keep").alias("keep_id"),
-            F.col("_size").alias("group_size"),
-            (F.col("doc_id").eqNullSafe(F.col("_keep")) & (F.col("_repeat") == 1)).alias("kept"),
-            *shape,
-        )
+        told.select("doc_id", F.col("_keep").alias("keep_id"), F.col("_size").alias("group_size"), "kept", *shape)
         .unionByName(
             reduce(DataFrame.unionByName, single).select(
                 "doc_id",
