@@ -438,10 +438,10 @@ def test_urls_by_brute_force(spark):
     hosts = ["a.org", "example.org", "x.example.org", "s.com", "p.net", "q.net", "other.io", "myorg", "n.example.org"]
     paths = ["/es/1", "/en/1", "/en/2", "/fr/x", "/de/y", "/p", "/p/1", "/p/2", "/", ""]
     ruled = [f"http://{h}{p}" for h in hosts for p in paths]
-    others = [f"http://p{k}.net/a" for k in range(150)]
+    others = [f"http://p{k}.net/a" for k in range(400)]
     extra = ["?utm_source=z", "#top", "?ref=1&k=2", "?k=2", "", "/"]
     rows = []
-    for i in range(160):
+    for i in range(480):
         url = r.choice(r.choice([ruled, others, others])) + r.choice(extra)
         if r.random() < 0.2:
             url = url.replace("://", "://www.")
@@ -452,7 +452,7 @@ def test_urls_by_brute_force(spark):
         elif kind < 0.45:
             html = f'<META http-equiv=refresh content="0; url={target}">'
         rows.append((i, url, html, "clash", "clash"))
-    rows += [(200, None, None, "", ""), (201, "nothing", "", "", ""), (202, "http://p.net/" + "z" * 100_000, None, "", ""), rows[0]]
+    rows += [(600, None, None, "", ""), (601, "nothing", "", "", ""), (602, "http://p.net/" + "z" * 100_000, None, "", ""), rows[0]]
 
     def split(url):
         rest = url.partition("://")[2] if url else ""
