@@ -63,11 +63,16 @@ def _band_salt(band: int) -> np.uint64:
     return np.uint64((band + 1) * int(_BAND_SALT) & ((1 << 64) - 1))
 
 
+def _one_each(band: int) -> bool:
+    """Whether each shingle is a segment of its own in a band."""
+    return (2 << band) - 1 < SMALL
+
+
 def segment_of(values: np.ndarray, band: int, percent: int, per: int) -> np.ndarray:
     """The segment of each of the sorted values, in order."""
-    top = (2 << band) - 1
-    if top < SMALL:
+    if _one_each(band):
         return values
+    top = (2 << band) - 1
     m = max(top // per, most_different(top, percent) + 1)
     return ((values >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
 
@@ -133,7 +138,8 @@ def most_lacking(size: int, percent: int = PERCENT) -> int:
 
 def _neighbours(length: int, percent: int):
     """All segments of a set, all of their one-deletion neighbourhoods, and their subsets of
-    one member."""
+    one member. Segments are numbered within their set and band. Where every shingle has a
+    segment of its own, whole segments are the members, and only these are given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,6 +148,7 @@ def _neighbours(length: int, percent: int):
                 for band in bands(len(values), percent) if len(values) else ():
                     whole, size, first = segments(values, band, percent, FINE_SEGMENT)
                     number = np.repeat(np.arange(len(whole)), size)
+                    alone = _one_each(band)
                     # A segment's sum without one member, under the same salt. What is left
                     # of a single member is an empty segment, which is not indexed.
                     mixed = w.mix(values)
@@ -150,20 +157,20 @@ def _neighbours(length: int, percent: int):
                     less = w.mix(np.add.reduceat(mixed, first)[number] - mixed + salt)
                     some = size[number] > 1
                     kinds = (
-                        (WHOLE, place[first], whole),
-                        (LESS, place[some], less[some]),
-                        (MEMBER, place, w.mix(mixed + _MEMBER_SALT + _band_salt(band))),
+                        (WHOLE, number[first], whole),
+                        (LESS, number[some], less[some]),
+                        (MEMBER, number, w.mix(mixed + _MEMBER_SALT + _band_salt(band))),
                     )
-                    for kind, segment, signature in kinds:
+                    for kind, segment, signature in kinds[2:] if alone else kinds:
                         n = len(signature)
                         for column, value in zip(
                             out,
-                            (np.full(n, row), np.full(n, band), _signed(segment), np.full(n, kind), _signed(signature)),
+                            (np.full(n, row), np.full(n, band), segment, np.full(n, kind), _signed(signature)),
                         ):
                             column.append(value)
             flat = [np.concatenate(c).astype(np.int64) if c else np.zeros(0, np.int64) for c in out]
             yield pa.record_batch(
-                [batch.column(0).take(pa.array(flat[0])), pa.array(flat[1].astype(np.int32)), pa.array(flat[2]), pa.array(flat[3].astype(np.int32)), pa.array(flat[4])],
+                [batch.column(0).take(pa.array(flat[0])), *(pa.array(c.astype(np.int32)) for c in flat[1:4]), pa.array(flat[4])],
                 ["set", "band", "segment", "kind", "signature"],
             )
 
@@ -171,7 +178,7 @@ def _neighbours(length: int, percent: int):
 
 
 def _choose(percent: int):
-    """Cost-based allocation of one set in one band: which of its signatures it looks up
+    """Cost-based allocation of one set, band by band: which of its signatures it looks up
     (``asks``), whether with the neighbourhood (``deep``), and what that costs (``price``);
     and which can be met by another set's looking up (``offers``).
 
@@ -182,11 +189,10 @@ def _choose(percent: int):
     is not met through a passage that many sets hold.
     """
 
-    def run(group: pa.Table) -> pa.Table:
+    def in_band(group: pa.Table, n: int) -> pa.Table:
         segment = group.column("segment").to_numpy()
         kind = group.column("kind").to_numpy()
         cost = group.column("cost").to_numpy()
-        n = int(group.column("n")[0].as_py())
         need = most_different(n, percent) + 1
         names, at = np.unique(segment, return_inverse=True)
         one = np.bincount(at, np.where(kind == WHOLE, cost, 0), len(names))
@@ -204,20 +210,33 @@ def _choose(percent: int):
         offers = kind != MEMBER
         offers[ordered[: n - -(-percent * n // 100) + 1]] = True
         by_segment, by_member = float(steps[order].sum()), float(cost[members].sum())
+        if not (kind == WHOLE).any():
+            # As many members as this, or more, would be looked up as segments.
+            by_segment = np.inf
         if by_member <= by_segment:
             asks = np.zeros(len(kind), bool)
             asks[members] = True
         else:
             asks = ((kind == WHOLE) & (level[at] >= 1)) | ((kind == LESS) & (level[at] == 2))
+        # A member that no other set has meets none.
+        met = (kind != MEMBER) | (cost > 1)
         return (
-            group.select(["set", "n", "component", "band", "kind", "signature"])
+            group.select(["set", "band", "kind", "signature"])
             .append_column("asks", pa.array(asks))
             .append_column("offers", pa.array(offers))
             .append_column("deep", pa.array(level[at] == 2))
             .append_column("price", pa.array(np.full(len(kind), min(by_segment, by_member))))
-            .filter(pa.array(asks | offers))
+            .filter(pa.array((asks | offers) & met))
         )
 
+    def run(index: pa.Table, sets: pa.Table) -> pa.Table:
+        n, component = (int(sets.column(c)[0].as_py()) for c in ("n", "component"))
+        band = index.column("band").to_numpy()
+        chosen = pa.concat_tables([in_band(index.filter(pa.array(band == b)), n) for b in np.unique(band)])
+        for name, value in (("n", n), ("component", component)):
+            chosen = chosen.append_column(name, pa.array(np.full(chosen.num_rows, value, np.int64)))
+        return chosen
+
     return run
 
 
@@ -334,6 +353,11 @@ def _nodes(
             "doc_id bigint, digest bigint, n bigint, set bigint, signatures array<bigint>",
         )
     )
+    members = _lists(described)
+    # The signatures, most of the table, are in the lists now.
+    slim = table(described.select("doc_id", "digest", "n", "set"))
+    discard(described)
+    described = slim
     known = described.filter(F.col("doc_id").isNotNull())
     sets = (
         known.filter(F.col("n") > 0)
@@ -341,7 +365,6 @@ def _nodes(
         .agg(F.min(F.struct("doc_id", "digest")).alias("_first"))
     )
     repeated = not known.groupBy("doc_id", "digest").agg(F.count("*").alias("_times")).filter(F.col("_times") > 1).isEmpty()
-    members = _lists(described)
 
     base = source.filter(F.col("doc_id").isNotNull())
     named = sets.select("set", F.col("_first.doc_id").alias("_owner"), F.col("_first.digest").alias("_of"))
@@ -405,18 +428,17 @@ def _nodes(
     long = table(long)
     done = [members, lead, unsettled, long]
     if not long.isEmpty():
-        index = mapped(texts(long.select("set")), _neighbours(length, percent), "set bigint, band int, segment bigint, kind int, signature bigint")
-        index = table(index.join(long, "set"))
+        index = mapped(texts(long.select("set")), _neighbours(length, percent), "set bigint, band int, segment int, kind int, signature bigint")
+        # What a set has only one of comes to it at the end: rows of the index are many.
+        index = table(index)
         # Looking a segment up whole meets whole ones; its neighbours meet whole ones, and
         # with them it also meets the neighbours of others. Members meet members.
         cost = index.groupBy("signature").agg(F.sum((F.col("kind") != LESS).cast("long")).alias("cost"))
-        priced = index.join(cost, "signature").select(
-            "set", "n", "component", "band", "segment", "kind", "signature", "cost"
-        )
+        priced = index.join(cost, "signature").select("set", "band", "segment", "kind", "signature", "cost")
         asked = table(
-            priced.groupBy("set", "band").applyInArrow(
+            priced.groupBy("set").cogroup(long.groupBy("set")).applyInArrow(
                 _choose(percent),
-                "set bigint, n bigint, component bigint, band int, kind int, signature bigint, asks boolean, offers boolean, deep boolean, price double",
+                "set bigint, band int, kind int, signature bigint, asks boolean, offers boolean, deep boolean, price double, n bigint, component bigint",
             )
         )
         discard(index)
@@ -437,7 +459,6 @@ def _nodes(
         links = cut(links.unionByName(verified(pairs)).distinct())
         found = components(links, "one", "other")
 
-    described = described.select("doc_id", "digest", "n", "set")
     nodes = (
         described.join(found.select(F.col("node").alias("set"), F.col("component").alias("_found")), "set", "left")
         .withColumn("_group", F.when(F.col("n") > 0, F.coalesce("_found", "set")))
