@@ -201,7 +201,9 @@ LEGAL = {"su", "ua", "au"}
 
 def _pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """Rows come in order, in each partition. The first piece there may go on from another
-    partition and pieces after a full one go on too, so they are parsed from every top."""
+    partition and pieces after a full one go on too, so they are parsed from every top.
+
+    A piece's ids have no gap: where ids jump within a conversation, another piece begins."""
     conv, piece, rows, fresh = None, None, [], False
 
     def ended():
@@ -216,7 +218,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
     for batch in batches:
         columns = (batch.column(c).to_pylist() for c in ("conv_id", "row_id", "initial", "must_go", "truncated"))
         for c, row_id, *row in zip(*columns):
-            if rows and (c != conv or len(rows) == most):
+            if rows and (c != conv or len(rows) == most or row_id != piece + len(rows)):
                 yield ended()
                 fresh, rows = c != conv, []
             if not rows:
@@ -400,7 +402,7 @@ def repair(rows: DataFrame, piece_rows: int = PIECE_ROWS) -> Repair:
     steps = chosen.select(
         "piece", F.posexplode(F.regexp_extract_all("plan", F.lit("[vw]*[KDpq](?:[vw]+\\z)?"), F.lit(0))).alias("k", "step")
     )
-    # A piece's rows have consecutive ids from its first on, as they lie in one partition.
+    # A piece's rows have consecutive ids from its first on.
     steps = steps.select((F.col("piece") + F.col("k")).alias("row_id"), "step")
     letters = F.filter(F.split("step", ""), lambda x: (x != "") & (x != "D"))
     made = F.transform(
