@@ -126,45 +126,53 @@ def _pieces(length: int, frequent: bool, with_bytes: bool = True):
 def suffix_array(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """All suffixes of the pieces in ``data`` in order; each ends where its piece ends.
 
+    Suffixes equal to their ends stay in the order of their places.
+    """
+    order, rank = ranked_suffixes(data, ends, len(data))
+    return order[np.lexsort((order, rank[order]))]
+
+
+def ranked_suffixes(data: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in order of their first ``depth`` bytes (7 at least), and the rank of each
+    place; those that are equal so far share a rank.
+
     Suffixes are sorted by their first 7 bytes, then groups that are still equal are refined
-    by the rank of what follows, to 14, 28, ... bytes (Larsson and Sadakane). Suffixes equal
-    to their ends stay in the order of their places.
+    by the rank of what follows, to 14, 28, ... bytes (Larsson and Sadakane). The last step
+    reaches back into bytes already compared, so that it ends at ``depth``.
     """
     n = len(data)
-    left = ends - np.arange(n)
-    padded = np.append(data, np.zeros(7, np.uint8)).astype(np.uint64)
-    key = np.zeros(n, np.uint64)
-    for k in range(7):
-        key = (key << np.uint64(8)) | np.where(left > k, padded[k : k + n], np.uint64(0))
-    key = (key << np.uint64(8)) | np.minimum(left, 7).astype(np.uint64)
+    left = (ends - np.arange(n)).astype(np.int32)
+    padded = np.append(data, np.zeros(8, np.uint8))
+    key = np.ndarray(n, ">u8", padded, strides=(1,)).astype(np.uint64)
+    known = np.minimum(left, 7)
+    key &= np.array([(1 << 64) - (1 << 64 - 8 * k) for k in range(8)], np.uint64)[known]
+    key |= known.astype(np.uint64)
     order = np.argsort(key)
     key = key[order]
     same = key[1:] == key[:-1]
-    head = np.arange(n)
+    head = np.arange(n, dtype=np.int32)
     head[1:][same] = 0
     head = np.maximum.accumulate(head)
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, np.int32)
     rank[order] = head
-    reach, most = 7, int(left.max(initial=0))
+    reach, most = 7, min(depth, int(left.max(initial=0)))
     active = np.flatnonzero(np.append(same, False) | np.append(False, same))
     while len(active) and reach < most:
+        step = min(reach, most - reach)
         places = order[active]
-        after = np.where(left[places] > reach, rank[np.minimum(places + reach, n - 1)] + 1, 0)
-        step = rank[places] * (n + 1) + after
-        inner = np.argsort(step)
-        places, step = places[inner], step[inner]
+        after = np.where(left[places] > step, rank[np.minimum(places + step, n - 1)] + 1, 0)
+        value = rank[places].astype(np.int64) * (n + 1) + after
+        inner = np.argsort(value)
+        places, value = places[inner], value[inner]
         order[active] = places
-        same = step[1:] == step[:-1]
-        head = active.copy()
+        same = value[1:] == value[:-1]
+        head = active.astype(np.int32)
         head[1:][same] = 0
         head = np.maximum.accumulate(head)
         rank[places] = head
         active = active[np.append(same, False) | np.append(False, same)]
-        reach *= 2
-    if len(active):
-        places = order[active]
-        order[active] = places[np.lexsort((places, rank[places]))]
-    return order
+        reach += step
+    return order, rank
 
 
 def common_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -206,17 +214,17 @@ class Shard:
         self.data = np.frombuffer(b"".join(pieces), np.uint8)
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
-        self.order = suffix_array(self.data, np.repeat(self.ends, sizes))
-        left = np.repeat(self.ends, sizes) - np.arange(len(self.data))
-        self.windows = self.order[left[self.order] >= length]
+        ends = np.repeat(self.ends, sizes)
+        order, self.rank = ranked_suffixes(self.data, ends, length)
+        self.windows = order[ends[order] - order >= length]
 
     def repeated(self) -> np.ndarray:
         """Places whose window occurs at another place of this shard."""
-        prefix = common_prefixes(self.data, self.starts, self.ends, self.order)
-        long = prefix[self.order] >= self.length
+        rank = self.rank[self.windows]
+        same = rank[1:] == rank[:-1]
         out = np.zeros(len(self.data), bool)
-        out[self.order[long]] = True
-        out[self.order[np.flatnonzero(long) - 1]] = True
+        out[self.windows[1:][same]] = True
+        out[self.windows[:-1][same]] = True
         return out
 
     def keys(self) -> np.ndarray:
@@ -342,9 +350,9 @@ def remove_repeated_bytes(
 
     Each string of ``length`` bytes has an anchor, the 32 bytes in it of least hash; equal
     strings agree on it. Only passages around anchors that occur again are looked at. They
-    are dealt to shards by anchor, equal passages once. A shard sorts its suffixes
-    (``suffix_array``) and takes their common prefixes; strings whose prefix reaches
-    ``length`` are repeated. The passages of an anchor that occurs over ``SHARD_PIECES`` times
+    are dealt to shards by anchor, equal passages once. A shard sorts its suffixes by their
+    first ``length`` bytes (``ranked_suffixes``); strings that share a rank are repeated. The
+    passages of an anchor that occurs over ``SHARD_PIECES`` times
     are spread over several shards, each different passage once, which are then compared in pairs by binary search of the one's windows
     in the other's suffix array.
 

@@ -242,6 +242,35 @@ def test_suffix_array():
         assert prefix[b] == next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
 
 
+@pytest.mark.parametrize("depth", [7, 12, 28, 40, 1000])
+def test_suffix_ranks(depth):
+    """The sort stops at ``depth``: what differs only behind it shares a rank."""
+    r = random.Random(depth)
+    pieces = [bytes(r.choices(b"ab\x00", (6, 2, 1), k=r.randint(1, 60))) for _ in range(40)]
+    pieces += [p[3:] + b"!" for p in pieces] + [b"a" * 50, b"a" * 90]
+    raw, ends = b"".join(pieces), np.cumsum([len(p) for p in pieces])
+    ends = np.repeat(ends, [len(p) for p in pieces])
+    order, rank = suffixes.ranked_suffixes(np.frombuffer(raw, np.uint8), ends, depth)
+    firsts = [raw[i : min(ends[i], i + depth)] for i in range(len(raw))]
+    assert [firsts[i] for i in order] == sorted(firsts)
+    first_place = {x: k for k, x in reversed(list(enumerate(sorted(firsts))))}
+    assert rank.tolist() == [first_place[x] for x in firsts]
+
+
+def test_shard_repeats():
+    r = random.Random(3)
+    text = bytes(r.choices(b"abc", k=400))
+    pieces = [text[r.randint(0, 150) : r.randint(190, 400)] + bytes(r.choices(b"xy", k=r.randint(0, 9))) for _ in range(20)]
+    shard = suffixes.Shard(pieces, 40)
+    count = collections.Counter(p[i : i + 40] for p in pieces for i in range(len(p) - 39))
+    want = np.zeros(len(shard.data), bool)
+    for k, p in enumerate(pieces):
+        for i in range(len(p) - 39):
+            want[shard.starts[k] + i] = count[p[i : i + 40]] > 1
+    assert want.any() and not want.all() and (shard.repeated() == want).all()
+    assert not suffixes.Shard([], 40).repeated().any()
+
+
 def test_quality(spark, docs):
     held = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     marks = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
